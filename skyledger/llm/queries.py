@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, langid, quality_rules, sharding
 from .common import crc_mod, table
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, log-likelihood ratio and verdict of every document; documents labelled good are the trusted target."""
+    labels = table(spark, sf_dir, "labels").where(F.col("quality") == 1)
+    return quality_rules.score(table(spark, sf_dir, "documents"), labels)
+
+
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document, as digests."""
     return bpe.token_digests(table(spark, sf_dir, "documents"), bpe.tokenizer_path())
 
 
+def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards, and their shard if there were 41."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every section of every document."""
     return bpe.section_token_counts(table(spark, sf_dir, "documents"), bpe.tokenizer_path())
@@ -27,5 +38,5 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_roundtrip, op6_token_counts, op7_language_id)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_bpe_roundtrip, op5_jump_shards, op6_token_counts, op7_language_id)}
+ORACLES: dict[str, str] = {"op5_jump_shards": sharding.oracle()}
