@@ -1,7 +1,7 @@
 """Quality rules: a length-normalised log-likelihood ratio of hashed word n-grams, trusted target against raw corpus.
 
-Built-in functions only. Each word is its crc32; a unigram's bucket is that number modulo BUCKETS, a bigram's the first
-times 1000003 plus the second, modulo BUCKETS. Both multinomials are smoothed counts over these buckets.
+Built-in functions only. Each word is its crc32; a bigram is the two numbers side by side in 64 bits; the bucket of
+either is its remainder modulo BUCKETS. Both multinomials are smoothed counts over these buckets.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 16384
+BUCKETS = 16381
 #: The trusted target is at most so many labelled documents, those of smallest hashed id (the documented bound).
 TRUSTED_DOCS = 20_000
 #: A document is kept if its mean log ratio is at least this.
@@ -26,7 +26,7 @@ def repeated(windows: Column, n: Column, width: int) -> Column:
 
     The positions of windows equal to a neighbour in the order are sorted, and each adds its width or the way to the next.
     """
-    hits = F.array_sort(
+    hits = F.sort_array(
         F.transform(
             F.filter(windows, lambda x, i: ((i > 0) & (F.get(windows, i - 1)["h"] == x["h"])) | ((i < n - 1) & (F.get(windows, i + 1)["h"] == x["h"]))),
             lambda x: x["p"],
@@ -37,7 +37,7 @@ def repeated(windows: Column, n: Column, width: int) -> Column:
 
 
 def base_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """keep columns, `crcs` (crc32 of each word) and the base counts. A null text counts as empty: no words, all counts 0.
+    """keep columns, `crcs` (crc32 of each word), `_p` (its pairs, see pairs()) and the base counts. A null text counts as empty: no words, all counts 0.
 
     Each step is a projection of its own, so that arrays used in lambdas are built once for a row. Most texts repeat no
     window and skip the sort.
@@ -57,14 +57,16 @@ def base_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None
         F.length(F.array_join("_w", "")).cast("bigint").alias("word_chars"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
     )
-    c = F.col("crcs")
-    positions = F.when(F.col("n_words") >= 5, F.sequence(F.lit(0), (F.col("n_words") - 5).cast("int"))).otherwise(F.array().cast("array<int>"))
-    three = two.withColumn("_h", F.transform(positions, lambda i: F.xxhash64(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2), F.get(c, i + 3), F.get(c, i + 4))))
+    c, p, n = F.col("crcs"), F.col("_p"), F.col("n_words").cast("int")
+    some = F.greatest(n - 4, F.lit(0))
+    four_words = F.zip_with(F.slice(p, F.lit(1), some), F.slice(p, F.lit(3), some), lambda x, y: F.xxhash64(x, y))
+    three = two.withColumn("_p", pairs(c, n)).withColumn("_h", F.zip_with(four_words, F.slice(c, F.lit(5), some), lambda x, y: F.xxhash64(x, y)))
     four = three.withColumn("_n", F.size("_h")).withColumn("_same", F.size(F.array_distinct("_h")) == F.size("_h"))
-    five = four.withColumn("_s", F.when(F.col("_same"), F.lit(None)).otherwise(F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
+    five = four.withColumn("_s", F.when(F.col("_same"), F.lit(None)).otherwise(F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
     return five.select(
         *keep,
         "crcs",
+        "_p",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -73,13 +75,14 @@ def base_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None
     )
 
 
-def grams(crcs: Column, n: Column) -> Column:
-    """Buckets of all unigrams and bigrams."""
-    pairs = F.when(n >= 2, F.sequence(F.lit(0), (n - 2).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.concat(
-        F.transform(crcs, lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")),
-        F.transform(pairs, lambda i: F.pmod(F.get(crcs, i) * 1000003 + F.get(crcs, i + 1), F.lit(BUCKETS)).cast("int")),
-    )
+def pairs(crcs: Column, n: Column) -> Column:
+    """Each word and the next as one 64-bit number: the first's crc32 in the high half, the second's in the low one."""
+    some = F.greatest(n - 1, F.lit(0))
+    return F.zip_with(F.slice(crcs, F.lit(1), some), F.slice(crcs, F.lit(2), some), lambda x, y: F.shiftleft(x, 32).bitwiseOR(y))
+
+
+def bucket(gram: Column) -> Column:
+    return F.pmod(gram, F.lit(BUCKETS)).cast("int")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, text: str = "text", id_col: str = "doc_id", bound: int = TRUSTED_DOCS) -> DataFrame:
@@ -91,7 +94,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, text: str = "text", id_col:
     ids = trusted.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(id_col), id_col).limit(bound).withColumn("_t", F.lit(1))
     flagged = docs.select(id_col, text).join(F.broadcast(ids), id_col, "left")
     c = flagged.select("_t", F.transform(words(F.col(text)), lambda w: F.crc32(w.cast("binary"))).alias("crcs"))
-    counts = c.select("_t", F.explode(grams(F.col("crcs"), F.size("crcs").cast("bigint"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_t").alias("target"))
+    each = c.select("_t", F.explode(F.concat("crcs", pairs(F.col("crcs"), F.size("crcs")))).alias("g"))
+    counts = each.select("_t", bucket(F.col("g")).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_t").alias("target"))
     full = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(F.broadcast(counts), "bucket", "left").na.fill(0, ["raw", "target"])
     sums = full.agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("v"), F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     half, all_ = F.lit(0.5), F.lit(0.5 * BUCKETS)
@@ -106,8 +110,8 @@ def score(docs: DataFrame, trusted: DataFrame, least: float = LEAST, text: str =
     """
     stats = base_statistics(docs.select(id_col, text), text, [id_col])
     ratio = log_ratios(docs, trusted, text, id_col).scalar()
-    with_grams = stats.withColumn("_g", grams(F.col("crcs"), F.col("n_words")))
-    total = F.aggregate("_g", F.lit(0.0), lambda a, g: a + F.get(ratio, g))  # as a column it would be copied for each row
+    with_grams = stats.withColumn("_g", F.concat("crcs", "_p")).drop("crcs", "_p").withColumn("_r", ratio)
+    total = F.aggregate("_g", F.lit(0.0), lambda a, g: a + F.get(F.col("_r"), bucket(g)))
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     out = with_grams.select(
         id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality_rules, sharding
+from . import bpe, langid, pii, quality_rules, sharding
 from .common import crc_mod, table
 
 
@@ -38,5 +38,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_bpe_roundtrip, op5_jump_shards, op6_token_counts, op7_language_id)}
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_bpe_roundtrip, op5_jump_shards, op6_token_counts, op7_language_id, op10_personal_data)}
 ORACLES: dict[str, str] = {"op5_jump_shards": sharding.oracle()}
