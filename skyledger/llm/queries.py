@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, pii, quality_rules, sharding
+from . import bpe, dedup, langid, pii, quality_rules, sharding
 from .common import crc_mod, table
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document; the one whose id names the class is kept."""
+    found = dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, log-likelihood ratio and verdict of every document; documents labelled good are the trusted target."""
     labels = table(spark, sf_dir, "labels").where(F.col("quality") == 1)
@@ -43,5 +49,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_bpe_roundtrip, op5_jump_shards, op6_token_counts, op7_language_id, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op3_quality_rules, op4_bpe_roundtrip, op5_jump_shards, op6_token_counts, op7_language_id, op10_personal_data)}
 ORACLES: dict[str, str] = {"op5_jump_shards": sharding.oracle()}
