@@ -58,7 +58,7 @@ def coordinate_rules(ra: str, dec: str) -> list[Rule]:
 
 def duplicates(df: DataFrame, document: str, value: str) -> DataFrame:
     """Values that occur more than once in a document, with their number."""
-    return df.where(F.col(value).isNotNull() & (F.col(value) != "")).groupBy(document, value).agg(F.count("*").alias("n")).where("n > 1")
+    return df.where(F.col(value).isNotNull() & (F.col(value).cast("string") != "")).groupBy(document, value).agg(F.count("*").alias("n")).where("n > 1")
 
 
 def grouped(found: DataFrame, index: str) -> DataFrame:
