@@ -35,7 +35,7 @@ def parse_angle(value: Column, unit: Column, form: Column, is_ra: bool, mode: st
 def separation(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
     """Great-circle separation in arcseconds; null if a position is missing."""
     h = F.pow(F.sin(F.radians(dec2 - dec1) / 2), 2) + F.cos(F.radians(dec1)) * F.cos(F.radians(dec2)) * F.pow(F.sin(F.radians(ra2 - ra1) / 2), 2)
-    return F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(h)))) * 3600.0
+    return F.when(h.isNotNull(), F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sqrt(h)))) * 3600.0)  # least() skips nulls
 
 
 def propagated(ra: Column, dec: Column, pm_ra: Column, pm_dec: Column, years: Column) -> tuple[Column, Column]:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def natural_key(c: Column) -> Column:
-    """Case-insensitive key in which numbers sort by size."""
-    parts = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(\d+|\D+)"), F.lit(1))
+    """Case-insensitive key in which numbers sort by size; null for missing text."""
+    parts = F.regexp_extract_all(F.lower(F.nullif(c, F.lit(""))), F.lit(r"(\d+|\D+)"), F.lit(1))
     return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 20, "0")).otherwise(p)), "")
 
 

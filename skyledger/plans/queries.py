@@ -144,7 +144,7 @@ def healpix_and_propagation(spark, d):
 
 _C = f"""x AS ({CONTRIBUTIONS}), p AS (SELECT record_id, ra, dec, month, gaia_id, name, {_KEY.format('gaia_id')} AS gaia, provider_id AS provider, object_key AS object,
   CASE WHEN {_WEAK.format('name')} THEN '' ELSE {_ALIAS.format('name')} END AS alias, coalesce(month, '9999-99') || '|' || record_id AS ord FROM x)"""
-_SEP = "degrees(2 * asin(least(1.0, sqrt(pow(sin(radians(r.dec - l.dec) / 2), 2) + cos(radians(l.dec)) * cos(radians(r.dec)) * pow(sin(radians(r.ra - l.ra) / 2), 2))))) * 3600"
+_SEP = "(CASE WHEN l.ra + l.dec + r.ra + r.dec IS NOT NULL THEN degrees(2 * asin(least(1.0, sqrt(pow(sin(radians(r.dec - l.dec) / 2), 2) + cos(radians(l.dec)) * cos(radians(r.dec)) * pow(sin(radians(r.ra - l.ra) / 2), 2))))) * 3600 END)"
 _NEAR = f"n AS (SELECT l.record_id, count(r.record_id) AS neighbours FROM p l LEFT JOIN p r ON l.record_id <> r.record_id AND abs(l.dec - r.dec) < 0.01 AND {_SEP} < 5 GROUP BY 1)"
 
 
