@@ -126,9 +126,16 @@ class Mixture:
 
 
 def fitting_rows(docs: DataFrame, per_lang: int, id_col: str, lang: str) -> DataFrame:
-    """Ids of at most per_lang documents of each language: those whose hashed id is smallest. Only ids and languages move."""
-    w = Window.partitionBy(lang).orderBy(F.xxhash64(id_col), id_col)
-    return docs.select(id_col, lang).where(F.col(lang).isNotNull()).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_lang).select(id_col).distinct()
+    """Ids of at most per_lang documents of each language: those whose hashed id is smallest. Only ids and languages move.
+
+    A language's ids are first cut at the hash below which twice per_lang of its rows are expected, so that a ranking task
+    gets a few thousand ids, however many rows the language has. Rows without an id or a language are left out.
+    """
+    some = docs.select(id_col, lang).where(F.col(id_col).isNotNull() & F.col(lang).isNotNull()).withColumn("_h", F.xxhash64(id_col))
+    share = some.groupBy(lang).agg((F.lit(2.0 * per_lang) / F.count("*")).alias("_s"))  # one row a language, as the model has
+    low = some.join(F.broadcast(share), lang).where(F.col("_h") / 2.0**64 + 0.5 <= F.col("_s")).select(id_col, lang, "_h").distinct()
+    w = Window.partitionBy(lang).orderBy("_h", id_col)
+    return low.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_lang).select(id_col).distinct()
 
 
 def fit(labelled: DataFrame, per_lang: int = FIT_DOCS, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Mixture:
