@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Quote marks at the start of a line, white space between them; their number is the quote level.
 MARK = r"^[\x20\t]*((?:>[\x20\t]?)+)"
 #: "On ... wrote:" lines before a quote say who wrote it; they go with the quote.
@@ -47,6 +49,10 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     Deeper levels count in n_quotes and link in their own right, but only the first level makes a reply. The join is by
     (conversation, passage hash), so a passage that many conversations share brings no more rows. Repeated rows of a turn
     number on; null texts are empty, rows with a null conversation are each a conversation of their own and are kept.
+
+    The parsed messages and the links are each written to the shared folder once. Only a conversation in which a message
+    answers another than the one before it is gathered to order its tree; in any other, depth and position are the message's
+    number, so a long conversation without such links is never gathered.
     """
     cols = [F.col(conv).alias("c"), F.col(turn).alias("t"), F.col(role).alias("r"), F.col(text).alias("x")]
     numbered = Window.partitionBy("c", "_own").orderBy(F.col("t").asc_nulls_first(), "r", "x")
@@ -56,16 +62,26 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     m = m.withColumn("_p", passages(F.col("_l")))
     m = m.withColumn("content", F.trim(F.array_join(F.transform(F.filter("_p", lambda p: p["level"] == 0), lambda p: p["text"]), "\n")))
     m = m.withColumn("quotes", F.filter(F.transform(F.filter("_p", lambda p: p["level"] > 0), lambda p: F.struct(p["level"].alias("level"), normal(p["text"]).alias("text"))), lambda p: p["text"] != ""))
-    m = m.select("c", "_own", "t", "r", "seq", "content", "quotes")
+    m = written(m.select("c", "_own", "t", "r", "seq", "content", "quotes"), "messages")
     keys = ["c", "_own"]
     pieces = F.array_distinct(F.filter(F.transform(F.concat(F.array("content"), F.split("content", "\n[\\x20\\t]*\n"), F.split("content", "\n")), normal), lambda p: p != ""))
     sources = m.where(F.col("content") != "").select(*keys, F.col("seq").alias("from"), F.explode(F.transform(pieces, lambda p: F.xxhash64(p))).alias("h"))
     asked = m.where(F.size("quotes") > 0).select(*keys, "seq", F.explode("quotes").alias("q")).select(*keys, "seq", F.col("q.level").alias("level"), F.xxhash64("q.text").alias("h"))
     same = [asked[k].eqNullSafe(sources[k]) for k in keys]
     met = asked.join(sources, [*same, asked.h == sources.h, F.col("from") < F.col("seq")]).select(*(asked[k] for k in keys), "seq", asked.h, "level", "from")
-    linked = met.groupBy(*keys, "seq").agg(F.countDistinct("h", "level").alias("n_linked"), F.max(F.when(F.col("level") == 1, F.col("from"))).alias("parent")).toDF("kc", "ko", "ks", "n_linked", "parent")
-    j = m.join(linked, m["c"].eqNullSafe(F.col("kc")) & m["_own"].eqNullSafe(F.col("ko")) & (m["seq"] == F.col("ks")), "left")
+    linked = written(met.groupBy(*keys, "seq").agg(F.countDistinct("h", "level").alias("n_linked"), F.max(F.when(F.col("level") == 1, F.col("from"))).alias("parent")).toDF("kc", "ko", "ks", "n_linked", "parent"), "links")
+    of_message = m["c"].eqNullSafe(F.col("kc")) & m["_own"].eqNullSafe(F.col("ko"))
+    j = m.join(linked, of_message & (m["seq"] == F.col("ks")), "left")
     j = j.select(*keys, "t", "r", "seq", "content", F.size("quotes").cast("bigint").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("bigint").alias("n_linked"), F.coalesce("parent", F.when(F.col("seq") > 0, F.col("seq") - 1)).cast("int").alias("parent"))
+    branched = linked.where(F.col("parent") != F.col("ks") - 1).select(F.col("kc").alias("bc"), F.col("ko").alias("bo")).distinct()
+    of_branched = F.col("c").eqNullSafe(F.col("bc")) & F.col("_own").eqNullSafe(F.col("bo"))
+    number = F.col("seq").cast("bigint")
+    plain = j.join(branched, of_branched, "left_anti").select(F.col("c").alias(conv), F.col("t").alias(turn), F.col("r").alias(role), "content", "n_quotes", "n_linked", F.col("parent").alias("reply_to"), number.alias("depth"), number.alias("position"))
+    return plain.unionByName(_ordered(j.join(branched, of_branched, "left_semi"), keys, conv, turn, role))
+
+
+def _ordered(j: DataFrame, keys: list[str], conv: str, turn: str, role: str) -> DataFrame:
+    """Depth and position of the messages of branched conversations, each gathered in one row."""
     # a conversation's parents in one array give every message's path to the root
     convs = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "t", "r", "content", "n_quotes", "n_linked", "parent"))).alias("ms"))
     path = F.aggregate("ms", F.array().cast("array<array<int>>"), lambda a, x: F.concat(a, F.array(F.concat(F.when(x["parent"].isNull(), F.array().cast("array<int>")).otherwise(F.get(a, x["parent"])), F.array(x["seq"])))))

@@ -185,3 +185,6 @@ def test_quotation_links(spark):
     got = {r.turn: r for r in chat.link(x).where("conv_id = 1").collect()}
     assert [got[i].reply_to for i in range(4)] == [None, 0, 0, 1] and got[2].content == "fine" and got[3].depth == 2 and got[2].position == 3
     assert chat.link(x).count() == 5 and chat.link(x.where("false")).count() == 0
+    rows = [(1, 0, "user", "a b"), (1, 1, "bot", "> a b\nc"), (1, 2, "user", "d"), (2, 0, "user", "x"), (2, 0, "user", "x"), (2, 1, "bot", "> y\nz")]
+    flat = chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r.conv_id, r.position, r.depth, r.reply_to, r.n_linked) for r in flat) == [(1, 0, 0, None, 0), (1, 1, 1, 0, 1), (1, 2, 2, 1, 0), (2, 0, 0, None, 0), (2, 1, 1, 0, 0), (2, 2, 2, 1, 0)]
