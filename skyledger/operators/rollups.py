@@ -62,6 +62,20 @@ def allocation(sizes: dict[str, int], total: int) -> dict[str, int]:
     return out
 
 
+def allocated(df: DataFrame, stratum: str, total: int) -> DataFrame:
+    """stratum, population, sampled and weight: largest-remainder shares of total, ties by stratum, with the inverse chance of
+    a draw (null where nothing is drawn). Only the counts, one row a stratum, meet in one task. A total above the population
+    draws all."""
+    sizes = df.groupBy(stratum).agg(F.count("*").alias("population"))
+    all_of = F.sum("population").over(Window.partitionBy())
+    share = F.least(F.lit(total), all_of).cast("double") * F.col("population") / all_of
+    x = sizes.withColumn("_share", share).withColumn("_floor", F.floor("_share"))
+    left = F.least(F.lit(total), all_of) - F.sum("_floor").over(Window.partitionBy())
+    x = x.withColumn("_more", F.row_number().over(Window.orderBy((F.col("_share") - F.col("_floor")).desc(), stratum)) <= left)
+    x = x.withColumn("sampled", (F.col("_floor") + F.col("_more").cast("int")).cast("bigint"))
+    return x.select(stratum, "population", "sampled", F.when(F.col("sampled") > 0, F.round(F.col("population") / F.col("sampled"), 6)).alias("weight"))
+
+
 def systematic_positions(n: int, k: int, seed: str) -> list[int]:
     """k positions of n at a fixed step from a start that the seed text draws."""
     if k <= 0 or n <= 0:

@@ -56,6 +56,58 @@ def coordinate_rules(ra: str, dec: str) -> list[Rule]:
     return [Rule("ra_range", (F.col(ra) < 0) | (F.col(ra) >= 360), "RA outside [0, 360)"), Rule("dec_range", ~F.col(dec).between(-90, 90), "Dec outside [-90, 90]")]
 
 
+#: Kinds of limit that a quantity may state.
+LIMIT_KINDS = ("", "lower_limit", "upper_limit", "range")
+
+
+def limit_rules(kind: str, value: str, lower: str, upper: str) -> list[Rule]:
+    """Rules of a quantity that states a limit or a range: a limit is the value, a range has both ends and no value."""
+    v = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    k, ends = F.coalesce(kind, F.lit("")), (v(lower) != "") | (v(upper) != "")
+    bound = k.isin("lower_limit", "upper_limit")
+    return [
+        Rule("limit_kind", ~k.isin(*LIMIT_KINDS), "no such kind of limit"),
+        Rule("range_without_kind", (k == "") & ends, "ends of a range need the kind 'range'"),
+        Rule("range_of_a_limit", bound & ends, "a limit has no ends of a range"),
+        Rule("limit_without_value", bound & (v(value) == ""), "the bound belongs in the value"),
+        Rule("value_of_a_range", (k == "range") & (v(value) != ""), "a range leaves the value empty"),
+        Rule("ends_of_a_range", (k == "range") & ((v(lower) == "") | (v(upper) == "")), "a range has both ends"),
+    ]
+
+
+def sexagesimal_rules(ra: str, dec: str) -> list[Rule]:
+    """Minutes and seconds below 60, hours below 24, degrees within 90; a text without three numbers is left to other rules."""
+
+    def parts(c: str) -> list[Column]:
+        found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(\d+(?:\.\d+)?)"), F.lit(1))
+        return [F.when(F.size(found) == 3, F.get(found, F.lit(i))).cast("double") for i in range(3)]
+
+    (h, rm, rs), (d, dm, ds) = parts(ra), parts(dec)
+    fine = lambda m, s: (m < 60) & (s < 60)
+    return [
+        Rule("ra_sixtieths", ~fine(rm, rs), "RA minutes and seconds outside [0, 60)"),
+        Rule("dec_sixtieths", ~fine(dm, ds), "Dec minutes and seconds outside [0, 60)"),
+        Rule("ra_hours", fine(rm, rs) & (h >= 24), "RA hours outside [0, 24)"),
+        Rule("dec_degrees", fine(dm, ds) & (d > 90), "Dec degrees outside [-90, 90]"),
+    ]
+
+
+def producer_allowed(category: Column, step_type: Column) -> Column:
+    """Whether a step of this type may produce a quantity of the category; null for a category without rules."""
+    allowed = F.create_map(*(F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for k, (types, _) in PROVENANCE.items() for x in (k, types)))
+    return (step_type == "reported_value_adoption") | F.array_contains(allowed[category], step_type)
+
+
+def lineage_gaps(category: Column, step_type: Column, lineage: Column) -> Column:
+    """How many groups of required types the lineage (array of step types, the step's own included) holds none of; an adopted
+    value needs none."""
+    gaps = F.lit(0)
+    for k, (_, groups) in PROVENANCE.items():
+        for g in groups:
+            gaps = gaps + F.when((category == k) & ~F.arrays_overlap(lineage, F.array(*map(F.lit, g))), 1).otherwise(0)
+    return F.when(step_type == "reported_value_adoption", 0).otherwise(gaps)
+
+
 def duplicates(df: DataFrame, document: str, value: str) -> DataFrame:
     """Values that occur more than once in a document, with their number."""
     return df.where(F.col(value).isNotNull() & (F.col(value).cast("string") != "")).groupBy(document, value).agg(F.count("*").alias("n")).where("n > 1")

@@ -32,3 +32,10 @@ def catalog_view(df: DataFrame, text: list[str], search: str = "", ranges: dict[
         key = natural_key(F.col(sort)) if dict(df.dtypes)[sort] == "string" else F.col(sort)
         out = out.orderBy(key.desc_nulls_last() if descending else key.asc_nulls_last())
     return out.limit(limit) if limit else out
+
+
+def column_bounds(df: DataFrame, columns: list[str]) -> DataFrame:
+    """name, low, high, n of the numbers of each column, in one pass; a column without numbers has null bounds."""
+    x = df.agg(*(f(c).cast(k).alias(f"{c}_{f.__name__}") for c in columns for f, k in ((F.min, "double"), (F.max, "double"), (F.count, "bigint"))))
+    made = F.array(*(F.struct(F.lit(c).alias("name"), F.col(f"{c}_min").alias("low"), F.col(f"{c}_max").alias("high"), F.col(f"{c}_count").alias("n")) for c in columns))
+    return x.select(F.inline(made))

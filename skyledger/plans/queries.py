@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers as nm
 from ..functions import sky
 from ..functions import text as tx
-from ..operators import dynamics, lineage, linkage, rollups, rules, tables, view
+from ..operators import dynamics, lineage, linkage, packing, rollups, rules, tables, view
 from ..streaming import windows
 from .contributions import SQL as CONTRIBUTIONS
 from .contributions import contributions
@@ -460,3 +460,91 @@ def catalog_view_sorted_topk(spark, d):
 @query("SELECT count(*) AS objects, min(o_totalprice) AS low, max(o_totalprice) AS high, count(*) FILTER (WHERE o_totalprice / 500000 >= 0.95) AS likely FROM orders")
 def view_stats(spark, d):
     return t(spark, d, "orders").agg(F.count("*").alias("objects"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.count_if(c("o_totalprice") / 500000 >= 0.95).alias("likely"))
+
+
+# --- packing, limits, provenance, strata ----------------------------------------------------------------------------
+
+@query("""WITH x AS (SELECT l_orderkey AS doc, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS line FROM lineitem),
+  f AS (SELECT *, coalesce(last_value(CASE WHEN line % 2 = 0 THEN l_suppkey % 3 = 0 END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), true) AS keep FROM x),
+  g AS (SELECT *, CASE WHEN keep THEN line ELSE line - row_number() OVER (PARTITION BY doc, keep ORDER BY line) END AS run FROM f)
+  SELECT doc, min(line) AS line, max(line) AS until, CASE WHEN keep THEN min(CASE WHEN line % 2 = 0 THEN '@article{k' || l_suppkey || ',' ELSE '  title = {t}' END) END AS text FROM g GROUP BY doc, keep, run""")
+def bibliography_filter(spark, d):
+    w = Window.partitionBy("doc").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    x = t(spark, d, "lineitem").select(c("l_orderkey").alias("doc"), "l_linenumber", "l_partkey", "l_suppkey").withColumn("line", F.row_number().over(w).cast("bigint"))
+    key = F.concat(lit("k"), c("l_suppkey"))
+    lines = x.select("doc", "line", F.when(c("line") % 2 == 0, F.concat(lit("@article{"), key, lit(","))).otherwise("  title = {t}").alias("text"))
+    return packing.cited_entries(lines, x.where("l_suppkey % 3 = 0").select("doc", key.alias("key")))
+
+
+@query("""WITH x AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents), y AS (SELECT doc_id, a, unnest(list_filter(range(1, len(a) + 1), lambda i: regexp_matches(a[i], '(?i)https?://|@|copyright|license'))) AS line FROM x)
+  SELECT doc_id, line::INTEGER AS line, regexp_replace(array_to_string(a[greatest(1, line - 2):line + 2], chr(10)), '^\\s+|\\s+$', '', 'g') AS context FROM y""")
+def context_window_lines(spark, d):
+    return packing.surroundings(t(spark, d, "documents"), "doc_id", "text", "(?i)https?://|@|copyright|license")
+
+
+@query("""WITH r AS (SELECT l_orderkey || '.' || l_linenumber || '.' || l_partkey AS location, l_orderkey % 7 AS o FROM lineitem)
+  SELECT location, u.rule AS rule, 'error' AS severity FROM r, unnest(CASE o WHEN 1 THEN [{'rule': 'limit_kind'}] WHEN 2 THEN [{'rule': 'range_without_kind'}] WHEN 3 THEN [{'rule': 'range_of_a_limit'}, {'rule': 'limit_without_value'}] WHEN 4 THEN [{'rule': 'value_of_a_range'}, {'rule': 'ends_of_a_range'}] ELSE [] END) AS z(u)""")
+def limit_rule_violations(spark, d):
+    o = c("l_orderkey") % 7
+    x = t(spark, d, "lineitem").select(F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey").alias("at"), F.when(o == 1, "about").when(o == 3, "lower_limit").when(o >= 4, "range").otherwise("").alias("kind"), F.when(o.isin(0, 2, 4), "5").alias("value"), F.when(o.isin(2, 5, 6), "1").alias("lower"), F.when(o.isin(3, 5, 6), "9").alias("upper"))
+    return rules.violations(x, c("at"), rules.limit_rules("kind", "value", "lower", "upper")).drop("message")
+
+
+_STEPS = sorted({x for types, _ in rules.PROVENANCE.values() for x in types} | {"reported_value_adoption", "galactic_potential_model"})
+
+
+def _provenance_sql() -> str:
+    names = "[" + ", ".join(map(repr, rules.PROVENANCE)) + "]"
+    steps = "[" + ", ".join(map(repr, _STEPS)) + "]"
+    allowed = " ".join(f"WHEN {k!r} THEN s IN ({', '.join(map(repr, v[0]))})" for k, v in rules.PROVENANCE.items())
+    gaps = " ".join(f"WHEN {k!r} THEN " + " + ".join(f"(CASE WHEN s IN ({q}) OR a IN ({q}) THEN 0 ELSE 1 END)" for q in (", ".join(map(repr, g)) for g in v[1])) for k, v in rules.PROVENANCE.items() if v[1])
+    return f"""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, {names}[l_orderkey % {len(rules.PROVENANCE)} + 1] AS c, {steps}[l_partkey % {len(_STEPS)} + 1] AS s, {steps}[l_suppkey % {len(_STEPS)} + 1] AS a FROM lineitem)
+      SELECT l_orderkey, l_linenumber, l_partkey, s = 'reported_value_adoption' OR CASE c {allowed} END AS allowed, CASE WHEN s = 'reported_value_adoption' THEN 0 ELSE CASE c {gaps} ELSE 0 END END AS gaps FROM x"""
+
+
+@query(_provenance_sql())
+def method_provenance_check(spark, d):
+    pick = lambda names, k: F.get(F.array(*map(lit, names)), (k % len(names)).cast("int"))
+    category, step = pick(list(rules.PROVENANCE), c("l_orderkey")), pick(_STEPS, c("l_partkey"))
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", rules.producer_allowed(category, step).alias("allowed"), rules.lineage_gaps(category, step, F.array(step, pick(_STEPS, c("l_suppkey")))).alias("gaps"))
+
+
+@query("""WITH s AS (SELECT source, count(*) AS population FROM documents GROUP BY 1), a AS (SELECT *, least(60, sum(population) OVER ()) AS total, least(60, sum(population) OVER ())::DOUBLE * population / sum(population) OVER () AS share FROM s),
+  b AS (SELECT *, row_number() OVER (ORDER BY share - floor(share) DESC, source) <= total - sum(floor(share)) OVER () AS more FROM a), e AS (SELECT source, population, (floor(share) + more::INTEGER)::BIGINT AS sampled FROM b)
+  SELECT source, population, sampled, CASE WHEN sampled > 0 THEN round(population / sampled, 6) END AS weight FROM e""")
+def stratified_allocation(spark, d):
+    return rollups.allocated(t(spark, d, "documents"), "source", 60)
+
+
+@query("SELECT DISTINCT doc, step FROM (SELECT conv_id AS doc, unnest([turn, turn - 1]) AS step FROM conversations WHERE turn > 0 AND turn % 4 = 1)")
+def dag_cycle_check(spark, d):
+    x = t(spark, d, "conversations").where("turn > 0")
+    e = x.selectExpr("conv_id AS doc", "turn AS step", "turn - 1 AS depends_on").union(x.where("turn % 4 = 1").selectExpr("conv_id", "turn - 1", "turn"))
+    return lineage.cyclic(e, lineage.closure(e))
+
+
+@query("SELECT CASE WHEN regexp_matches(lower(text), '\\bthe\\b') THEN 'english' WHEN regexp_matches(lower(text), '\\bder\\b|\\bdie\\b') THEN 'german' ELSE 'no_evidence' END AS label, count(*) AS n FROM documents GROUP BY 1")
+def rule_triage_counts(spark, d):
+    return rule_triage(spark, d).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("SELECT s_nationkey AS provider_key, count(DISTINCT c_custkey) AS n_claims FROM supplier JOIN customer ON c_nationkey = s_nationkey WHERE s_suppkey % 2 = 0 GROUP BY 1 HAVING count(DISTINCT c_custkey) > 1")
+def provider_duplicate_claims(spark, d):
+    claims = t(spark, d, "customer").groupBy(c("c_nationkey").alias("provider_key")).agg(F.countDistinct("c_custkey").alias("n_claims")).where("n_claims > 1")
+    return claims.join(t(spark, d, "supplier").where("s_suppkey % 2 = 0").select(c("s_nationkey").alias("provider_key")), "provider_key", "left_semi")
+
+
+@query("SELECT o_orderpriority, count(*) AS n_lines, count(*) FILTER (WHERE l_tax > 0) AS with_error, count(*) FILTER (WHERE l_returnflag = 'R') AS upper, count(DISTINCT o_orderkey) AS documents FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
+def coverage_summary(spark, d):
+    per_doc = t(spark, d, "lineitem").groupBy(c("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"), F.count_if(c("l_tax") > 0).alias("e"), F.count_if(c("l_returnflag") == "R").alias("u"))
+    return t(spark, d, "orders").select("o_orderkey", "o_orderpriority").join(per_doc, "o_orderkey").groupBy("o_orderpriority").agg(F.sum("n").alias("n_lines"), F.sum("e").alias("with_error"), F.sum("u").alias("upper"), F.countDistinct("o_orderkey").alias("documents"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')")
+def enum_membership(spark, d):
+    return t(spark, d, "orders").where(~c("o_orderstatus").isin("F", "O")).select("o_orderkey", "o_orderstatus")
+
+
+@query("SELECT 'o_totalprice' AS name, min(o_totalprice) AS low, max(o_totalprice) AS high, count(o_totalprice) AS n FROM orders UNION ALL SELECT 'o_custkey', min(o_custkey)::DOUBLE, max(o_custkey)::DOUBLE, count(o_custkey) FROM orders")
+def column_min_max(spark, d):
+    return view.column_bounds(t(spark, d, "orders"), ["o_totalprice", "o_custkey"])

@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from skyledger.functions import numbers as nm
 from skyledger.functions import sky
 from skyledger.functions import text as tx
-from skyledger.operators import dynamics, lineage, linkage, rollups, tables, view
+from skyledger.operators import dynamics, lineage, linkage, packing, rollups, rules, tables, view
 from skyledger.plans import queries as catalog
 
 SF = "/root/testdata/sf0.001"
@@ -142,3 +142,34 @@ def test_oracle(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_bibliography_keeps_cited_entries_and_blocks(spark):
+    text = ["% head", "@string{x = 1}", "@article{a,", " t", "@book{b,", " t", None, "@misc{c,"]
+    lines = spark.createDataFrame([(1, i, x) for i, x in enumerate(text, 1)] + [(2, 1, "@article{a,")], "doc int, line int, text string")
+    cited = spark.createDataFrame([(1, "b"), (1, "b"), (2, "z"), (None, "a")], "doc int, key string")
+    got = {(r.doc, r.line): (r.until, r.text) for r in packing.cited_entries(lines, cited).collect()}
+    assert got == {(1, 1): (1, "% head"), (1, 2): (2, "@string{x = 1}"), (1, 3): (4, None), (1, 5): (5, "@book{b,"), (1, 6): (6, " t"), (1, 7): (7, ""), (1, 8): (8, None), (2, 1): (1, None)}
+    assert packing.cited_entries(lines.where("false"), cited).count() == 0
+
+
+def test_surroundings(spark):
+    x = spark.createDataFrame([(1, "a\nb\nc github\nd\ne\nf"), (2, None), (3, "")], "id int, text string")
+    assert [tuple(r) for r in packing.surroundings(x, "id", "text", "github").collect()] == [(1, 3, "a\nb\nc github\nd\ne")]
+
+
+def test_limit_and_sexagesimal_rules(spark):
+    x = spark.createDataFrame([(1, "range", None, "1", "2"), (2, "range", "3", "1", None), (3, "upper_limit", " ", "", ""), (4, None, "1", None, None), (5, "x", None, None, None)], "id int, k string, v string, lo string, hi string")
+    found = {(r.location, r.rule) for r in rules.violations(x, F.col("id"), rules.limit_rules("k", "v", "lo", "hi")).collect()}
+    assert found == {(2, "value_of_a_range"), (2, "ends_of_a_range"), (3, "limit_without_value"), (5, "limit_kind")}
+    y = spark.createDataFrame([(1, "23:59:59.9", "-90:00:00"), (2, "24:00:00", "-91:10:10"), (3, "10:60:00", "10:10:60"), (4, "150.5", None)], "id int, ra string, dec string")
+    found = {(r.location, r.rule) for r in rules.violations(y, F.col("id"), rules.sexagesimal_rules("ra", "dec")).collect()}
+    assert found == {(2, "ra_hours"), (2, "dec_degrees"), (3, "ra_sixtieths"), (3, "dec_sixtieths")}
+
+
+def test_provenance_and_allocation(spark):
+    assert one(spark, rules.producer_allowed(F.lit("orbit"), F.lit("orbit_integration"))) and not one(spark, rules.producer_allowed(F.lit("orbit"), F.lit("input_catalog")))
+    assert one(spark, rules.lineage_gaps(F.lit("orbit"), F.lit("orbit_integration"), F.array(F.lit("velocity_calculation")))) == 1
+    x = spark.createDataFrame([("a",)] * 7 + [("b",)] * 2 + [("c",)], "s string")
+    assert {r.s: r.sampled for r in rollups.allocated(x, "s", 5).collect()} == rollups.allocation({"a": 7, "b": 2, "c": 1}, 5)
+    assert rollups.allocated(x.where("false"), "s", 5).count() == 0 and {r.weight for r in rollups.allocated(x, "s", 99).collect()} == {1.0}
