@@ -6,13 +6,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 #: Quote marks at the start of a line, white space between them; their number is the quote level.
 MARK = r"^[\x20\t]*((?:>[\x20\t]?)+)"
 #: "On ... wrote:" lines before a quote say who wrote it; they go with the quote.
 ATTRIBUTION = r"(?i)^[\x20\t]*(?:on\b.*\bwrote|am\b.*\bschrieb.*|le\b.*\ba [ée]crit|el\b.*\bescribi[óo])[\x20\t]*:[\x20\t]*$"
 
+#: Messages of a conversation that one sort holds at most, if their turns differ: hot conversations are cut into blocks of turns.
+BLOCK = 4096
+NODE = ["k", "s", "leave"]
+
 
 def normal(text: Column) -> Column:
     """Lower case, white space runs as one space, ends trimmed."""
@@ -40,54 +44,114 @@ def passages(lines: Column) -> Column:
     return F.aggregate(lines, empty, step)
 
 
-def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row a message: conv, turn, role, content (without quotes), n_quotes, n_linked, reply_to (number of the message in its conversation, from 0, or null), depth and
-    position (from 0, reply order: by path of turns from the root).
+def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", block: int = BLOCK) -> DataFrame:
+    """One row a message: conv, turn, role, content (without quotes), n_quotes, n_linked, reply_to (number of the message in its
+    conversation, from 0, or null), depth and position (from 0, reply order: by path of message numbers from the root).
 
     A message replies to the latest earlier message of its conversation that holds one of its first-level quotes: own words of
     that message, a paragraph or a line of them, equal after normalising. Without such a link it replies to the message before it.
-    Deeper levels count in n_quotes and link in their own right, but only the first level makes a reply. The join is by
-    (conversation, passage hash), so a passage that many conversations share brings no more rows. Repeated rows of a turn
-    number on; null texts are empty, rows with a null conversation are each a conversation of their own and are kept.
+    Deeper levels count in n_quotes and link in their own right, but only the first level makes a reply. Passages meet by
+    (conversation, passage hash) in a running maximum, never as pairs, so a passage that many messages share costs one row each.
+
+    Messages are numbered by turn (null first), role and text; repeated rows of a turn number on. Null texts are empty. A row
+    without a conversation is a conversation of its own, shared only with rows equal to it.
 
-    The parsed messages and the links are each written to the shared folder once. Only a conversation in which a message
-    answers another than the one before it is gathered to order its tree; in any other, depth and position are the message's
-    number, so a long conversation without such links is never gathered.
+    No conversation is gathered: numbers, quotes and reply trees work on blocks of `block` turns and on ranges of ids. Only
+    rows of one turn of one conversation are sorted together. The parsed messages are written to the shared folder once.
     """
-    cols = [F.col(conv).alias("c"), F.col(turn).alias("t"), F.col(role).alias("r"), F.col(text).alias("x")]
-    numbered = Window.partitionBy("c", "_own").orderBy(F.col("t").asc_nulls_first(), "r", "x")
     own = F.when(F.col("c").isNull(), F.xxhash64("t", "r", "x"))
-    m = messages.select(*cols).withColumn("_own", own).withColumn("seq", F.row_number().over(numbered) - 1)
+    m = messages.select(F.col(conv).alias("c"), F.col(turn).alias("t"), F.col(role).alias("r"), F.col(text).alias("x"))
+    m = m.withColumn("k", F.struct("c", own.alias("own"))).withColumn("tb", F.floor(F.col("t") / block))
+    m = m.withColumn("at", F.row_number().over(Window.partitionBy("k", "tb").orderBy(F.col("t").asc_nulls_first(), "r", "x")) - 1)
     m = m.withColumn("_l", lines_of(F.col("x"))).withColumn("_l", F.filter("_l", lambda l: ~((l["level"] == 0) & l["body"].rlike(ATTRIBUTION) & F.exists("_l", lambda y: y["level"] > 0))))
     m = m.withColumn("_p", passages(F.col("_l")))
     m = m.withColumn("content", F.trim(F.array_join(F.transform(F.filter("_p", lambda p: p["level"] == 0), lambda p: p["text"]), "\n")))
     m = m.withColumn("quotes", F.filter(F.transform(F.filter("_p", lambda p: p["level"] > 0), lambda p: F.struct(p["level"].alias("level"), normal(p["text"]).alias("text"))), lambda p: p["text"] != ""))
-    m = written(m.select("c", "_own", "t", "r", "seq", "content", "quotes"), "messages")
-    keys = ["c", "_own"]
+    m = numbered(written(m.select("k", "t", "r", "tb", "at", "content", "quotes"), "messages"))
+    linked = written(links(m, block), "links")
+    j = m.join(linked, ["k", "seq"], "left").withColumn("parent", F.coalesce("parent", F.when(F.col("seq") > 0, F.col("seq") - 1)))
+    out = ["k.c", "t", "r", "content", F.size("quotes").cast("bigint").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("bigint").alias("n_linked"), "parent"]
+    branches = linked.where(F.col("parent") != F.col("seq") - 1)
+    if not branches.head(1):  # every message answers the one before it
+        found = j.select(*out, F.col("seq").alias("depth"), F.col("seq").alias("position"))
+    else:
+        places = reply_order(m.select("k", "seq"), branches, block)
+        found = j.join(places, ["k", "seq"], "left").select(*out, F.coalesce("depth", "seq").alias("depth"), F.coalesce("position", "seq").alias("position"))
+    return found.toDF(conv, turn, role, "content", "n_quotes", "n_linked", "reply_to", "depth", "position")
+
+
+def numbered(m: DataFrame) -> DataFrame:
+    """Turns places `at` inside blocks `tb` into `seq`, numbers in the whole conversation: only later blocks need an offset."""
+    before = F.sum("n").over(Window.partitionBy("k").orderBy(F.col("tb").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = m.groupBy("k", "tb").agg(F.count("*").alias("n")).withColumn("off", before).where("off is not null").selectExpr("k as ko", "tb as to", "off")
+    j = m.join(offsets, (F.col("k") == F.col("ko")) & F.col("tb").eqNullSafe(F.col("to")), "left")
+    return j.select("k", "t", "r", (F.col("at") + F.coalesce("off", F.lit(0))).cast("bigint").alias("seq"), "content", "quotes")
+
+
+def running_max(df: DataFrame, keys: list[str], at: str, value: str, block: int) -> DataFrame:
+    """Replaces `value` by its maximum over the rows of the same keys up to the row's `at`, in blocks of `at`; nulls don't count."""
+    df = df.withColumn("_b", F.floor(F.col(at) / block))
+    inside = Window.partitionBy(*keys, "_b").orderBy(at).rangeBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = df.groupBy(*keys, "_b").agg(F.max(value).alias("_v")).withColumn("_v", F.max("_v").over(before)).where("_v is not null")
+    return df.withColumn(value, F.max(value).over(inside)).join(carry, [*keys, "_b"], "left").withColumn(value, F.greatest(value, "_v")).drop("_b", "_v")
+
+
+def links(m: DataFrame, block: int) -> DataFrame:
+    """k, seq, n_linked and parent of the messages of which a quote is found in an earlier one."""
+    asked = m.where(F.size("quotes") > 0).select("k", "seq", F.explode("quotes").alias("q")).select("k", "seq", F.col("q.level").alias("level"), F.xxhash64("q.text").alias("h"))
     pieces = F.array_distinct(F.filter(F.transform(F.concat(F.array("content"), F.split("content", "\n[\\x20\\t]*\n"), F.split("content", "\n")), normal), lambda p: p != ""))
-    sources = m.where(F.col("content") != "").select(*keys, F.col("seq").alias("from"), F.explode(F.transform(pieces, lambda p: F.xxhash64(p))).alias("h"))
-    asked = m.where(F.size("quotes") > 0).select(*keys, "seq", F.explode("quotes").alias("q")).select(*keys, "seq", F.col("q.level").alias("level"), F.xxhash64("q.text").alias("h"))
-    same = [asked[k].eqNullSafe(sources[k]) for k in keys]
-    met = asked.join(sources, [*same, asked.h == sources.h, F.col("from") < F.col("seq")]).select(*(asked[k] for k in keys), "seq", asked.h, "level", "from")
-    linked = written(met.groupBy(*keys, "seq").agg(F.countDistinct("h", "level").alias("n_linked"), F.max(F.when(F.col("level") == 1, F.col("from"))).alias("parent")).toDF("kc", "ko", "ks", "n_linked", "parent"), "links")
-    of_message = m["c"].eqNullSafe(F.col("kc")) & m["_own"].eqNullSafe(F.col("ko"))
-    j = m.join(linked, of_message & (m["seq"] == F.col("ks")), "left")
-    j = j.select(*keys, "t", "r", "seq", "content", F.size("quotes").cast("bigint").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("bigint").alias("n_linked"), F.coalesce("parent", F.when(F.col("seq") > 0, F.col("seq") - 1)).cast("int").alias("parent"))
-    branched = linked.where(F.col("parent") != F.col("ks") - 1).select(F.col("kc").alias("bc"), F.col("ko").alias("bo")).distinct()
-    of_branched = F.col("c").eqNullSafe(F.col("bc")) & F.col("_own").eqNullSafe(F.col("bo"))
-    number = F.col("seq").cast("bigint")
-    plain = j.join(branched, of_branched, "left_anti").select(F.col("c").alias(conv), F.col("t").alias(turn), F.col("r").alias(role), "content", "n_quotes", "n_linked", F.col("parent").alias("reply_to"), number.alias("depth"), number.alias("position"))
-    return plain.unionByName(_ordered(j.join(branched, of_branched, "left_semi"), keys, conv, turn, role))
-
-
-def _ordered(j: DataFrame, keys: list[str], conv: str, turn: str, role: str) -> DataFrame:
-    """Depth and position of the messages of branched conversations, each gathered in one row."""
-    # a conversation's parents in one array give every message's path to the root
-    convs = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "t", "r", "content", "n_quotes", "n_linked", "parent"))).alias("ms"))
-    path = F.aggregate("ms", F.array().cast("array<array<int>>"), lambda a, x: F.concat(a, F.array(F.concat(F.when(x["parent"].isNull(), F.array().cast("array<int>")).otherwise(F.get(a, x["parent"])), F.array(x["seq"])))))
-    flat = convs.withColumn("paths", path).withColumn("order", F.sort_array("paths")).select(F.col("c"), F.posexplode("ms"), "paths", "order")
-    x = F.col("col")
-    return flat.select(
-        F.col("c").alias(conv), x["t"].alias(turn), x["r"].alias(role), x["content"].alias("content"), x["n_quotes"].alias("n_quotes"), x["n_linked"].alias("n_linked"),
-        x["parent"].alias("reply_to"), (F.size(F.get(F.col("paths"), F.col("pos"))) - 1).cast("bigint").alias("depth"), (F.array_position("order", F.get(F.col("paths"), F.col("pos"))) - 1).alias("position"),
-    )
+    sources = m.where(F.col("content") != "").select("k", "seq", F.explode(F.transform(pieces, lambda p: F.xxhash64(p))).alias("h"))
+    sources = sources.join(asked.select("k", "h").distinct(), ["k", "h"], "left_semi")
+    # a message's own words come after its quotes: doubled numbers keep them apart
+    both = asked.select("k", "h", "level", (F.col("seq") * 2).alias("at"), F.lit(None).cast("bigint").alias("from"))
+    both = both.unionByName(sources.select("k", "h", F.lit(None).cast("int").alias("level"), (F.col("seq") * 2 + 1).alias("at"), F.col("seq").alias("from")))
+    met = running_max(both, ["k", "h"], "at", "from", block).where("level is not null and from is not null")
+    found = met.groupBy("k", (F.col("at") / 2).cast("bigint").alias("seq"))
+    return found.agg(F.countDistinct("h", "level").alias("n_linked"), F.max(F.when(F.col("level") == 1, F.col("from"))).alias("parent"))
+
+
+def followers(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """Adds `follower`: `value` of the next row of the same keys in the given order, null for the last. The order must be total.
+
+    Rows are range-partitioned by keys and order, so that a key with very many rows is cut; each cut knows the next one's first row.
+    """
+    d = written(df.repartitionByRange(*keys, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+    heads = d.groupBy(*keys, "_p").agg(F.min_by(value, F.struct(*order)).alias("_h")).withColumn("_h", F.lead("_h").over(Window.partitionBy(*keys).orderBy("_p"))).where("_h is not null")
+    d = d.withColumn("follower", F.lead(value).over(Window.partitionBy(*keys, "_p").orderBy(*order)))
+    return d.join(heads, [*keys, "_p"], "left").withColumn("follower", F.coalesce("follower", "_h")).drop("_p", "_h")
+
+
+def reply_order(places: DataFrame, branches: DataFrame, block: int) -> DataFrame:
+    """k, seq, depth and position of the messages of conversations with branches (k, seq, parent).
+
+    A run is a message that starts a branch (or the conversation) and those after it that each answer the one before. The runs
+    of a conversation form a tree; a walk enters and leaves each. Pointer doubling over the walk gives, for every run, the
+    messages after it and its depth, in as many rounds as the logarithm of the longest walk, without gathering a conversation.
+    """
+    places = places.join(branches.select("k").distinct(), "k", "left_semi")
+    starts = places.where("seq = 0").select("k", "seq", F.lit(None).cast("bigint").alias("parent")).unionByName(branches.select("k", "seq", "parent"))
+    of_run = running_max(places.join(starts.select("k", "seq", F.col("seq").alias("s")), ["k", "seq"], "left"), ["k"], "seq", "s", block)
+    of_run = written(of_run, "runs")
+    lengths = of_run.groupBy("k", "s").agg(F.count("*").alias("n"))
+    above = of_run.select("k", F.col("seq").alias("parent"), F.col("s").alias("up"))
+    runs = starts.withColumnRenamed("seq", "s").join(lengths, ["k", "s"]).join(above, ["k", "parent"], "left")
+    # a run's own messages come first; of the branches, those off its later messages are met first
+    runs = runs.withColumn("step", F.coalesce(F.col("parent") - F.col("up") + 1, F.lit(0))).withColumn("back", -F.col("parent"))
+    runs = written(followers(runs, ["k", "up"], ["back", "s"], "s"), "tree")
+    first = runs.where("up is not null").groupBy("k", "up").agg(F.min_by("s", F.struct("back", "s")).alias("child")).withColumnRenamed("up", "s")
+    enter = runs.join(first, ["k", "s"], "left").select("k", "s", F.lit(False).alias("leave"), F.coalesce("child", "s").alias("ns"), F.col("child").isNull().alias("nl"), "n", "step")
+    leave = runs.select("k", "s", F.lit(True).alias("leave"), F.coalesce("follower", "up").alias("ns"), F.col("follower").isNull().alias("nl"), F.lit(0).cast("bigint").alias("n"), (-F.col("step")).alias("step"))
+    walk = written(enter.unionByName(leave), "walk")
+    while walk.where("ns is not null").head(1):
+        ahead = walk.select(F.col("k"), F.col("s").alias("ns"), F.col("leave").alias("nl"), F.col("ns").alias("ns2"), F.col("nl").alias("nl2"), F.col("n").alias("n2"), F.col("step").alias("step2"))
+        plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
+        longer = written(walk.join(ahead, ["k", "ns", "nl"], "left").select(*NODE, F.col("ns2").alias("ns"), F.col("nl2").alias("nl"), plus("n", "n2"), plus("step", "step2")), "walk")
+        dropped(walk)
+        walk = longer
+    # sums from a run's entry to the end of the walk, itself included: depths of the whole walk add up to nothing
+    entries = walk.where("not leave").select("k", "s", F.col("n").alias("rest"), F.col("step").alias("sum"))
+    totals = entries.where("s = 0").select("k", F.col("rest").alias("total"))
+    tops = runs.select("k", "s", "step").join(entries, ["k", "s"]).join(totals, "k").select("k", "s", (F.col("step") - F.col("sum")).alias("top"), (F.col("total") - F.col("rest")).alias("before"))
+    inside = F.col("seq") - F.col("s")
+    return of_run.join(tops, ["k", "s"]).select("k", "seq", (F.col("top") + inside).alias("depth"), (F.col("before") + inside).alias("position"))

@@ -188,3 +188,31 @@ def test_quotation_links(spark):
     rows = [(1, 0, "user", "a b"), (1, 1, "bot", "> a b\nc"), (1, 2, "user", "d"), (2, 0, "user", "x"), (2, 0, "user", "x"), (2, 1, "bot", "> y\nz")]
     flat = chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert sorted((r.conv_id, r.position, r.depth, r.reply_to, r.n_linked) for r in flat) == [(1, 0, 0, None, 0), (1, 1, 1, 0, 1), (1, 2, 2, 1, 0), (2, 0, 0, None, 0), (2, 1, 1, 0, 0), (2, 2, 2, 1, 0)]
+
+
+def test_reply_order_matches_brute_force(spark):
+    rng = random.Random(5)
+    rows = []
+    for conv in (1, 2, None):
+        for turn in range(60):
+            quote = [f"> word{rng.randint(0, 11)}", f"> > word{rng.randint(0, 11)}"][: rng.choice([0, 0, 1, 2])]
+            own = [f"Word{rng.randint(0, 11)}"] if rng.random() < 0.8 else []
+            rows.append((conv if conv else 3, turn - turn // 20, f"r{turn % 3}", "\n".join([*quote, *own]), "extra"))
+    rows += [(None, 0, "a", "x", "e"), (None, 1, "a", "> x\ny", "e")]
+    expected = []
+    for conv in (1, 2, 3):
+        ms = sorted((r[1], r[2], r[3]) for r in rows if r[0] == conv)
+        parents = []
+        for n, (_, _, text) in enumerate(ms):
+            lines = text.split("\n")
+            asks = [ln[1:].strip() for ln in lines if ln.startswith("> word")]
+            at = [k for k in range(n) for a in asks if any(ln.lower() == a for ln in ms[k][2].split("\n") if not ln.startswith(">"))]
+            parents.append(max(at) if at else n - 1 if n else None)
+        paths = []
+        for n, p in enumerate(parents):
+            paths.append([*(paths[p] if p is not None else []), n])
+        expected += [(conv, *ms[n][:2], parents[n], len(paths[n]) - 1, sorted(paths).index(paths[n])) for n in range(60)]
+    data = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, seq string")
+    got = chat.link(data, block=3).collect()
+    assert sorted((r.conv_id, r.turn, r.role, r.reply_to, r.depth, r.position) for r in got if r.conv_id) == sorted(expected)
+    assert sorted((r.turn, r.reply_to, r.position) for r in got if r.conv_id is None) == [(0, None, 0), (1, None, 0)]
