@@ -81,9 +81,13 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
 
 
 def numbered(m: DataFrame) -> DataFrame:
-    """Turns places `at` inside blocks `tb` into `seq`, numbers in the whole conversation: only later blocks need an offset."""
+    """Turns places `at` inside blocks `tb` into `seq`, numbers in the whole conversation: only later blocks need an offset.
+
+    The offsets are a table of their own, so that their size is known and texts aren't shuffled to meet a small one.
+    """
     before = F.sum("n").over(Window.partitionBy("k").orderBy(F.col("tb").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
     offsets = m.groupBy("k", "tb").agg(F.count("*").alias("n")).withColumn("off", before).where("off is not null").selectExpr("k as ko", "tb as to", "off")
+    offsets = written(offsets, "offsets")
     j = m.join(offsets, (F.col("k") == F.col("ko")) & F.col("tb").eqNullSafe(F.col("to")), "left")
     return j.select("k", "t", "r", (F.col("at") + F.coalesce("off", F.lit(0))).cast("bigint").alias("seq"), "content", "quotes")
 
