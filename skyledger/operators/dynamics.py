@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,9 @@ R0, Z_SUN, V_SUN, K = 8.122, 0.0208, (11.1, 245.0, 7.25), 4.740470463533349
 #: Rows of the rotation from equatorial to Galactic axes.
 ROTATION = ((-0.0548755604162154, -0.8734370902348850, -0.4838350155487132), (0.4941094278755837, -0.4448296299600112, 0.7469822444972189), (-0.8676661490190047, -0.1980763734312015, 0.4559837761750669))
 LEAST_RATIO = 5.0
+#: What the sampler draws, in the order of the covariance, and how many objects it draws side by side.
+FIELDS = ("parallax", "pmra", "pmdec", "radial_velocity")
+GROUP = 64
 
 
 def gate(parallax: Column, error: Column, zero_point: Column) -> Column:
@@ -65,50 +69,125 @@ def jeffreys(hits: Column, total: Column) -> tuple[Column, Column, Column]:
     return a, b, a / (a + b)
 
 
-def log_prior(distance: np.ndarray, alpha: float, beta: float, length: float) -> np.ndarray:
+def log_prior(distance: np.ndarray, alpha: np.ndarray, beta: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Log of the generalised gamma density of a distance."""
-    return -((distance / length) ** alpha) + beta * np.log(distance) + math.log(alpha) - (beta + 1) * math.log(length) - math.lgamma((beta + 1) / alpha)
-
-
-def stretch_sampler(log_density: Callable[[np.ndarray], np.ndarray], start: np.ndarray, n: int, burn: int, seed: int) -> np.ndarray:
-    """Affine-invariant ensemble sampling (stretch moves, both halves in turn): n draws after `burn` steps."""
-    rng = np.random.default_rng(seed)
-    walkers, dim = start.shape
-    x, lp, half, kept = start.copy(), log_density(start), start.shape[0] // 2, []
-    for step in range(burn + -(-n // walkers)):
-        for own, other in ((slice(0, half), slice(half, walkers)), (slice(half, walkers), slice(0, half))):
-            a, b = x[own], x[other]
-            z = (rng.random(len(a)) + 1) ** 2 / 2
-            new = b[rng.integers(len(b), size=len(a))]
-            new = new + z[:, None] * (a - new)
+    return -((distance / length) ** alpha) + beta * np.log(distance) + np.log(alpha) - (beta + 1) * np.log(length) - np.vectorize(math.lgamma, otypes=[float])((beta + 1) / alpha)
+
+
+def stretch_sampler(log_density: Callable[[np.ndarray], np.ndarray], start: np.ndarray, n: int, burn: int, rngs: list[np.random.Generator]) -> np.ndarray:
+    """Affine-invariant ensemble sampling (stretch moves, both halves in turn) of many objects side by side: n draws each after
+    `burn` steps, from start (objects, walkers, dimensions). Each object has its own generator, so its draws don't depend on the others."""
+    count, walkers, dim = start.shape
+    half, steps = walkers // 2, burn + -(-n // walkers)
+    z = np.stack([(r.random((steps, 2, half)) + 1) ** 2 / 2 for r in rngs], 2)
+    pick = np.stack([r.integers(half, size=(steps, 2, half)) for r in rngs], 2)
+    luck = np.stack([np.log(r.random((steps, 2, half))) for r in rngs], 2)
+    x, lp, kept, at = start.copy(), log_density(start), [], np.arange(count)[:, None]
+    for step in range(steps):
+        for side in (0, 1):
+            own, other = slice(side * half, side * half + half), slice(half - side * half, walkers - side * half)
+            a, b, zs = x[:, own], x[:, other][at, pick[step, side]], z[step, side]
+            new = b + zs[..., None] * (a - b)
             lq = log_density(new)
-            go = np.log(rng.random(len(a))) < (dim - 1) * np.log(z) + lq - lp[own]
-            a[go], lp[own] = new[go], np.where(go, lq, lp[own])
-            x[own] = a
+            go = luck[step, side] < (dim - 1) * np.log(zs) + lq - lp[:, own]
+            x[:, own] = np.where(go[..., None], new, a)
+            lp[:, own] = np.where(go, lq, lp[:, own])
         if step >= burn:
             kept.append(x.copy())
-    return np.concatenate(kept)[:n]
+    return np.concatenate(kept, 1)[:, :n]
+
+
+def astrometry(objects: DataFrame) -> DataFrame:
+    """object_id, alpha, beta, length, ra, dec, the values of FIELDS and their covariance as 16 numbers; what objects lack is null.
+
+    Errors are in `<field>_error`, correlations in `parallax_pmra_corr`, `parallax_pmdec_corr` and `pmra_pmdec_corr`. Rows are
+    dealt out by id: a small file holds hours of sampling.
+    """
+    get = lambda name: (F.col(name) if name in objects.columns else F.lit(None)).cast("double")
+    cov = covariance([get(f"{f}_error") for f in FIELDS], {(i, j): get(f"{FIELDS[i]}_{FIELDS[j]}_corr") for i in range(3) for j in range(i + 1, 3)})
+    spark = objects.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    names = ("alpha", "beta", "length", "ra", "dec", *FIELDS)
+    return objects.select(F.col("object_id").cast("string").alias("object_id"), *(get(n).alias(n) for n in names), F.array(*(x for row in cov for x in row)).alias("cov")).repartition(parts, "object_id")
+
+
+def sampled(pdf: pd.DataFrame, samples: int, burn: int, seed: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Groups of rows of astrometry() with their draws (rows, samples, FIELDS) under prior and full covariance.
+
+    A field without a positive error is held at its value; one without a value is NaN.
+    """
+    cov = np.array([[math.nan if v is None else v for v in c] for c in pdf["cov"]], float).reshape(-1, 4, 4)
+    value = pdf[list(FIELDS)].to_numpy(float)
+    free = (np.diagonal(cov, axis1=1, axis2=2) > 0) & ~np.isnan(value)
+    code = free @ (1 << np.arange(4))
+    for kind in np.unique(code):
+        rows = np.flatnonzero(code == kind)
+        for group in (rows[i : i + GROUP] for i in range(0, len(rows), GROUP)):
+            some = pdf.iloc[group]
+            out = np.repeat(value[group][:, None], samples, 1)
+            if kind & 1:  # the prior is one of the parallax
+                on = np.flatnonzero(free[group[0]])
+                mu, c = value[group][:, on], cov[group][:, on][:, :, on]
+                singular = np.linalg.matrix_rank(c) < len(on)
+                inverse = np.linalg.inv(c + singular[:, None, None] * 1e-12 * np.eye(len(on)))
+                alpha, beta, length = (some[n].to_numpy(float)[:, None] for n in ("alpha", "beta", "length"))
+
+                def density(x):
+                    p, diff = x[..., 0], x - mu[:, None]
+                    ok = p > 0
+                    safe = np.where(ok, p, 1.0)
+                    return np.where(ok, log_prior(1 / safe, alpha, beta, length) - 0.5 * ((diff @ inverse) * diff).sum(-1), -np.inf)
 
+                rngs = [np.random.default_rng([seed, zlib.crc32(str(i).encode())]) for i in some["object_id"]]
+                error = np.sqrt(np.diagonal(c, axis1=1, axis2=2))
+                scale = np.maximum(np.abs(mu) * 3e-3, np.maximum(error, 1e-6) * 0.05)
+                start = mu[:, None] + scale[:, None] * np.stack([r.standard_normal((16, len(on))) for r in rngs])
+                start[..., 0] = np.maximum(start[..., 0], error[:, :1] * 0.1)
+                out[:, :, on] = stretch_sampler(density, start, samples, burn, rngs)
+            yield some, out
 
-def posterior(objects: DataFrame, samples: int = 10_000, burn: int = 500, seed: int = 42) -> DataFrame:
-    """16th, 50th and 84th percentiles of the distance (kpc) of each object (object_id, parallax, parallax_error, alpha, beta,
-    length) under its prior and a normal parallax. Each object is sampled on its own with its own seed; only rows that passed
-    the gate should come here."""
+
+def speeds(ra: np.ndarray, dec: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Galactocentric speed in km/s of draws (objects, samples, FIELDS); without a radial velocity the least one that is possible."""
+    a, d = np.radians(ra)[:, None], np.radians(dec)[:, None]
+    ta, td = x[..., 1] / x[..., 0] * K, x[..., 2] / x[..., 0] * K
+    axes = np.array(ROTATION)
+    n = axes @ np.stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d) + 0 * a])[..., 0]
+    v = np.tensordot(axes, np.stack([-ta * np.sin(a) - td * np.sin(d) * np.cos(a), ta * np.cos(a) - td * np.sin(d) * np.sin(a), td * np.cos(d)]), 1) + np.array(V_SUN)[:, None, None]
+    along = (n[..., None] * v).sum(0)
+    v = v + n[..., None] * np.where(np.isnan(x[..., 3]), -along, x[..., 3])
+    return np.sqrt((v * v).sum(0))
+
+
+def draws(objects: DataFrame, samples: int = 10_000, burn: int = 500, seed: int = 42) -> DataFrame:
+    """object_id and the draws of parallax, pmra, pmdec and radial_velocity, an array each, in step. Input as for posterior()."""
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for r in pdf.itertuples():
-                def density(x, r=r):
-                    p = x[:, 0]
-                    ok = p > 0
-                    safe = np.where(ok, p, 1.0)
-                    return np.where(ok, log_prior(1 / safe, r.alpha, r.beta, r.length) - 0.5 * ((safe - r.parallax) / r.parallax_error) ** 2, -np.inf)
+            for some, x in sampled(pdf, samples, burn, seed):
+                known = ~np.isnan(x[:, 0])
+                yield pd.DataFrame({"object_id": some["object_id"].to_numpy()} | {f: [v if k else None for v, k in zip(x[:, :, i], known[:, i])] for i, f in enumerate(FIELDS)})
+
+    return astrometry(objects).mapInPandas(run, ", ".join(["object_id string", *(f"{f} array<double>" for f in FIELDS)]))
 
-                s = seed + int(np.frombuffer(str(r.object_id).encode().ljust(8, b"\0")[:8], np.uint32)[0] % 1_000_003)
-                first = np.abs(r.parallax + r.parallax_error * 0.1 * np.random.default_rng(s).standard_normal((16, 1))) + 1e-9
-                d = 1 / stretch_sampler(density, first, samples, burn, s)[:, 0]
-                out.append((r.object_id, *np.percentile(d, (16, 50, 84)).tolist()))
-            yield pd.DataFrame(out, columns=["object_id", "p16", "median", "p84"])
 
-    return objects.mapInPandas(run, "object_id string, p16 double, median double, p84 double")
+def posterior(objects: DataFrame, samples: int = 10_000, burn: int = 500, seed: int = 42) -> DataFrame:
+    """16th, 50th and 84th percentiles of the distance (kpc: p16, median, p84), of pmra, pmdec and radial_velocity and of the
+    Galactocentric speed of each object (object_id, parallax, parallax_error, alpha, beta, length) under its prior and normal errors.
+
+    Proper motions, radial velocity, correlations, ra and dec are used where they are there, named as in astrometry(); a percentile
+    of what is missing is null. Without a radial velocity the speed is a lower limit. Each object is sampled on its own with its
+    own seed; only rows that passed the gate should come here."""
+    names = ["p16", "median", "p84", *(f"{f}_{q}" for f in (*FIELDS[1:], "speed") for q in ("p16", "median", "p84"))]
+
+    def run(batches):
+        for pdf in batches:
+            for some, x in sampled(pdf, samples, burn, seed):
+                v = speeds(some["ra"].to_numpy(float), some["dec"].to_numpy(float), x)
+                stack = np.concatenate([1 / x[..., :1], x[..., 1:], v[..., None]], 2)
+                q = np.percentile(stack, (16, 50, 84), axis=1).transpose(1, 2, 0).reshape(len(some), -1)
+                out = pd.DataFrame(q, columns=names).astype(object).where(~np.isnan(q), None)
+                out.insert(0, "object_id", some["object_id"].to_numpy())
+                yield out
+
+    return astrometry(objects).mapInPandas(run, ", ".join(["object_id string", *(f"{n} double" for n in names)]))

@@ -427,8 +427,12 @@ def galactocentric_speed(spark, d):
 
 @query()
 def mcmc_posterior(spark, d):
-    x = t(spark, d, "supplier").where("s_suppkey <= 20").select(c("s_suppkey").cast("string").alias("object_id"), (lit(0.2) + c("s_suppkey") % 7 / 10).alias("parallax"), lit(0.02).alias("parallax_error"), lit(1.0).alias("alpha"), lit(2.0).alias("beta"), lit(1.5).alias("length"))
-    return dynamics.posterior(x, 2000, 200)
+    k = c("s_suppkey")
+    pm = [(k % 11 - 5.0).alias("pmra"), (k % 13 - 6.0).alias("pmdec"), lit(0.05).alias("pmra_error"), lit(0.04).alias("pmdec_error")]
+    corr = [lit(0.3).alias("parallax_pmra_corr"), lit(-0.2).alias("parallax_pmdec_corr"), F.when(k % 5 != 0, 0.1).alias("pmra_pmdec_corr")]
+    rv = [F.when(k % 3 != 0, c("s_acctbal") / 100).alias("radial_velocity"), F.when(k % 3 == 1, 2.0).alias("radial_velocity_error")]
+    x = t(spark, d, "supplier").select(k.cast("string").alias("object_id"), (lit(0.2) + k % 7 / 10).alias("parallax"), lit(0.02).alias("parallax_error"), lit(1.0).alias("alpha"), lit(2.0).alias("beta"), lit(1.5).alias("length"), (k % 360).alias("ra"), (k % 170 - 85).alias("dec"), *pm, *corr, *rv)
+    return dynamics.posterior(x)
 
 
 # --- tables and view ------------------------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ import math
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +124,28 @@ def test_sampler(spark):
     assert abs(r.median - 1) < 0.01 and 0.005 < (r.p84 - r.p16) / 2 < 0.015
 
 
+def test_sampler_draws_all_dimensions(spark):
+    x = spark.sql("""SELECT 'Gaia DR3 1' AS object_id, 1.0D AS parallax, 0.02D AS parallax_error, 1.0D AS alpha, 2.0D AS beta, 1.5D AS length, 10 AS ra, 20 AS dec, 5.0D AS pmra, 0.05D AS pmra_error,
+        -3.0D AS pmdec, 0.04D AS pmdec_error, 0.8D AS parallax_pmra_corr, -0.5D AS pmra_pmdec_corr, 100.0D AS radial_velocity, 2.0D AS radial_velocity_error""")
+    x = x.union(x.withColumn("object_id", F.lit("Gaia DR3 2")).withColumn("radial_velocity", F.lit(None))).union(x.withColumn("object_id", F.lit("Gaia DR3 3")).withColumn("radial_velocity_error", F.lit(None)))
+    d = {r.object_id[-1]: [np.array(v) if v is not None else None for v in r[1:]] for r in dynamics.draws(x).collect()}
+    assert all(len(v) == 10_000 for v in d["1"]) and d["2"][3] is None and set(d["3"][3]) == {100.0} and not np.allclose(d["2"][0], d["3"][0])
+    for i, ((value, error), v) in enumerate(zip(((1, 0.02), (5, 0.05), (-3, 0.04), (100, 2)), d["1"])):
+        assert abs(v.mean() - value) < error / 5 and abs(v.std() / error - 1) < 0.1, i
+    rho = np.corrcoef(d["1"])
+    assert abs(rho[0, 1] - 0.8) < 0.05 and abs(rho[0, 2]) < 0.1 and abs(rho[1, 2] + 0.5) < 0.07 and abs(rho[0, 3]) < 0.1
+    p = {r.object_id[-1]: r for r in dynamics.posterior(x).collect()}
+    assert p["2"].radial_velocity_median is None and p["2"].speed_median < p["1"].speed_median
+    args = [F.lit(float(v)) for v in (10, 20, p["3"].median, p["3"].pmra_median, p["3"].pmdec_median)]
+    assert abs(one(spark, dynamics.speed(dynamics.velocity(*args, F.lit(100.0)))) - p["3"].speed_median) < 1
+    assert abs(one(spark, dynamics.speed(dynamics.velocity(*args, dynamics.slowest_rv(*args)))) - p["2"].speed_median) < 1
+
+
+def test_posterior_query_samples_every_supplier(spark):
+    got = catalog.QUERIES["mcmc_posterior"](spark, SF)
+    assert got.where("median > 0 and speed_median > 0").count() == spark.read.parquet(f"{SF}/supplier.parquet").count()
+
+
 def same(v):
     if v is None or isinstance(v, float) and math.isnan(v):
         return ""
