@@ -1,26 +1,27 @@
-"""Closures over small dependency graphs: ancestors, depth and cycles, by recursive SQL with the path as guard."""
+"""Closures over small dependency graphs: ancestors, depth and cycles, by joins of paths that double in length."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .linkage import stored
 
-def closure(edges: DataFrame, limit: int = 100) -> DataFrame:
-    """doc, step, ancestor, distance (shortest) from edges (doc, step, depends_on). A path never visits a step twice.
 
-    `limit` bounds the length of a path; step ids have two digits, so no path is longer.
+def closure(edges: DataFrame) -> DataFrame:
+    """doc, step, ancestor, distance (shortest) from edges (doc, step, depends_on), however long the paths are.
+
+    A round doubles the distance: what is at most 2n away is at most n away or at most n behind an ancestor that is n away. The
+    pairs found go to the shared folder, so a chain of n steps takes about log2(n) rounds. It ends when no ancestor is n away.
     """
-    edges.createOrReplaceTempView("_lineage_edges")
-    found = edges.sparkSession.sql(f"""
-        WITH RECURSIVE up(doc, step, ancestor, path, n) MAX RECURSION LEVEL {limit + 1} AS (
-            SELECT doc, step, depends_on, array(step, depends_on), 1 FROM _lineage_edges
-            UNION ALL
-            SELECT u.doc, u.step, e.depends_on, array_append(u.path, e.depends_on), u.n + 1
-            FROM up u JOIN _lineage_edges e ON u.doc = e.doc AND u.ancestor = e.step
-            WHERE NOT array_contains(u.path, e.depends_on) AND u.n < {limit})
-        SELECT doc, step, ancestor, n FROM up""")
-    return found.where("step <> ancestor").groupBy("doc", "step", "ancestor").agg(F.min("n").alias("distance"))
+    key, far = ["doc", "step", "ancestor"], 1
+    reach = stored(edges.where("step <> depends_on").select("doc", "step", F.col("depends_on").alias("ancestor"), F.lit(1).alias("distance")).distinct())
+    while reach.where(F.col("distance") == far).head(1):
+        ahead = reach.select("doc", F.col("step").alias("via"), "ancestor", F.col("distance").alias("more"))
+        paths = reach.where(F.col("distance") == far).select("doc", "step", F.col("ancestor").alias("via")).join(ahead, ["doc", "via"]).where("step <> ancestor")
+        new = stored(paths.groupBy(key).agg((F.min("more") + far).alias("distance")).join(reach, key, "left_anti"))
+        reach, far = reach.union(new), far * 2
+    return reach
 
 
 def depths(edges: DataFrame, reach: DataFrame) -> DataFrame:

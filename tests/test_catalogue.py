@@ -97,6 +97,25 @@ def test_lineage(spark):
     assert {r.step for r in lineage.cyclic(e, reach).collect()} == {"a", "b", "c"}
 
 
+def test_lineage_of_a_long_chain(spark):
+    e = spark.range(1, 301).selectExpr("1 AS doc", "id AS step", "id - 1 AS depends_on")
+    e = e.union(e.where("step > 2").selectExpr("doc", "step", "step DIV 2")).union(spark.sql("SELECT 2, a, b FROM VALUES (1L, 1L), (1L, 2L), (2L, 3L), (3L, 1L), (3L, NULL) AS x(a, b)")).union(spark.sql("SELECT NULL, 1L, 2L"))
+    up = {}
+    for r in e.collect():
+        up.setdefault((r.doc, r.step), set()).add(r.depends_on)
+    want = set()
+    for doc, step in up:
+        found, edge, n = {step}, {step}, 0
+        while edge:
+            edge, n = {a for s in edge for a in up.get((doc, s), ()) if a is not None} - found, n + 1
+            found |= edge
+            want |= {(doc, step, a, n) for a in edge}
+    reach = lineage.closure(e)
+    got = [tuple(r) for r in reach.collect()]
+    assert len(got) == len(want) and set(got) == want and max(n for *_, n in got) > 100
+    assert {(r.doc, r.step): r.depth for r in lineage.depths(e, reach).collect()}[1, 300] == max(n for d, s, _, n in want if (d, s) == (1, 300))
+
+
 def test_tables():
     head, data = tables.latex_table("% \\begin{tabular}{c} no \\end{tabular}\n\\begin{tabular}{lc}\nid & v \\\\[2pt] \\hline\n1 & $2\\pm1$ \\\\\n3 & \\textbf{a\\&b}\n\\end{tabular}")
     assert head == [["id", "v"]] and data == [["1", "2±1"], ["3", "a&b"]]
