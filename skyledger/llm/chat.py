@@ -23,6 +23,16 @@ def normal(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
 
 
+def paragraphs(text: Column) -> Column:
+    """array<string> of what blank lines part."""
+    return F.split(text, "\n[\\x20\\t]*\n")
+
+
+def hashes(texts: Column) -> Column:
+    """array<bigint>: one for each text that isn't empty after normalising."""
+    return F.transform(F.filter(F.transform(texts, normal), lambda x: x != ""), lambda x: F.xxhash64(x))
+
+
 def lines_of(text: Column) -> Column:
     """array<struct<level, body>> of the lines: quote level (0 for own words) and the line without marks."""
     return F.transform(
@@ -49,7 +59,9 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     conversation, from 0, or null), depth and position (from 0, reply order: by path of message numbers from the root).
 
     A message replies to the latest earlier message of its conversation that holds one of its first-level quotes: own words of
-    that message, a paragraph or a line of them, equal after normalising. Without such a link it replies to the message before it.
+    that message, a passage of them between quotes, a paragraph or a line, equal after normalising. A quote may also be put
+    together: a message holds it if it holds all its paragraphs, and a paragraph if it holds all its lines, so quotes that leave
+    out lines or paragraphs are found; the order of the pieces and what lies between them don't count. Without such a link it replies to the message before it.
     Deeper levels count in n_quotes and link in their own right, but only the first level makes a reply. Passages meet by
     (conversation, passage hash) in a running maximum, never as pairs, so a passage that many messages share costs one row each.
 
@@ -65,9 +77,14 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     m = m.withColumn("at", F.row_number().over(Window.partitionBy("k", "tb").orderBy(F.col("t").asc_nulls_first(), "r", "x")) - 1)
     m = m.withColumn("_l", lines_of(F.col("x"))).withColumn("_l", F.filter("_l", lambda l: ~((l["level"] == 0) & l["body"].rlike(ATTRIBUTION) & F.exists("_l", lambda y: y["level"] > 0))))
     m = m.withColumn("_p", passages(F.col("_l")))
-    m = m.withColumn("content", F.trim(F.array_join(F.transform(F.filter("_p", lambda p: p["level"] == 0), lambda p: p["text"]), "\n")))
-    m = m.withColumn("quotes", F.filter(F.transform(F.filter("_p", lambda p: p["level"] > 0), lambda p: F.struct(p["level"].alias("level"), normal(p["text"]).alias("text"))), lambda p: p["text"] != ""))
-    m = numbered(written(m.select("k", "t", "r", "tb", "at", "content", "quotes"), "messages"))
+    own_parts = F.transform(F.filter("_p", lambda p: p["level"] == 0), lambda p: p["text"])
+    m = m.withColumn("parts", F.when(F.size(own_parts) > 1, own_parts))
+    m = m.withColumn("content", F.trim(F.array_join(own_parts, "\n")))
+    # of a quote, its hash and those of its paragraphs, each with its lines'
+    in_it = lambda p: F.transform(F.filter(paragraphs(p), lambda x: normal(x) != ""), lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), hashes(F.split(x, "\n")).alias("parts")))
+    quoted = F.filter("_p", lambda p: (p["level"] > 0) & (normal(p["text"]) != ""))
+    m = m.withColumn("quotes", F.transform(quoted, lambda p: F.struct(p["level"].alias("level"), F.xxhash64(normal(p["text"])).alias("h"), in_it(p["text"]).alias("paragraphs"))))
+    m = numbered(written(m.select("k", "t", "r", "tb", "at", "content", "parts", "quotes"), "messages"))
     linked = written(links(m, block), "links")
     j = m.join(linked, ["k", "seq"], "left").withColumn("parent", F.coalesce("parent", F.when(F.col("seq") > 0, F.col("seq") - 1)))
     out = ["k.c", "t", "r", "content", F.size("quotes").cast("bigint").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).cast("bigint").alias("n_linked"), "parent"]
@@ -89,7 +106,7 @@ def numbered(m: DataFrame) -> DataFrame:
     offsets = m.groupBy("k", "tb").agg(F.count("*").alias("n")).withColumn("off", before).where("off is not null").selectExpr("k as ko", "tb as to", "off")
     offsets = written(offsets, "offsets")
     j = m.join(offsets, (F.col("k") == F.col("ko")) & F.col("tb").eqNullSafe(F.col("to")), "left")
-    return j.select("k", "t", "r", (F.col("at") + F.coalesce("off", F.lit(0))).cast("bigint").alias("seq"), "content", "quotes")
+    return j.select("k", "t", "r", (F.col("at") + F.coalesce("off", F.lit(0))).cast("bigint").alias("seq"), "content", "parts", "quotes")
 
 
 def running_max(df: DataFrame, keys: list[str], at: str, value: str, block: int) -> DataFrame:
@@ -101,12 +118,34 @@ def running_max(df: DataFrame, keys: list[str], at: str, value: str, block: int)
     return df.withColumn(value, F.max(value).over(inside)).join(carry, [*keys, "_b"], "left").withColumn(value, F.greatest(value, "_v")).drop("_b", "_v")
 
 
+def holders(sources: DataFrame, wholes: DataFrame) -> DataFrame:
+    """k, seq, h of the messages that hold all parts of a whole (k, h, parts), from the pieces (k, seq, h) of the messages.
+
+    Only the messages that hold the rarest part are tried.
+    """
+    wholes = wholes.withColumn("parts", F.array_distinct("parts")).distinct().withColumnRenamed("h", "whole")
+    seen = sources.groupBy("k", "h").agg(F.count("*").alias("n"))
+    rarest = wholes.select("*", F.explode("parts").alias("h")).join(seen, ["k", "h"]).groupBy("k", "whole", "parts").agg(F.min_by("h", F.struct("n", "h")).alias("h"), F.count("*").alias("known"))
+    tried = rarest.where(F.col("known") == F.size("parts")).join(sources, ["k", "h"]).select("k", "whole", "seq", "parts", F.explode("parts").alias("h"))
+    held = tried.join(sources, ["k", "seq", "h"]).groupBy("k", "whole", "seq", "parts").agg(F.count("*").alias("n"))
+    return held.where(F.col("n") == F.size("parts")).select("k", "seq", F.col("whole").alias("h"))
+
+
 def links(m: DataFrame, block: int) -> DataFrame:
     """k, seq, n_linked and parent of the messages of which a quote is found in an earlier one."""
-    asked = m.where(F.size("quotes") > 0).select("k", "seq", F.explode("quotes").alias("q")).select("k", "seq", F.col("q.level").alias("level"), F.xxhash64("q.text").alias("h"))
-    pieces = F.array_distinct(F.filter(F.transform(F.concat(F.array("content"), F.split("content", "\n[\\x20\\t]*\n"), F.split("content", "\n")), normal), lambda p: p != ""))
-    sources = m.where(F.col("content") != "").select("k", "seq", F.explode(F.transform(pieces, lambda p: F.xxhash64(p))).alias("h"))
-    sources = sources.join(asked.select("k", "h").distinct(), ["k", "h"], "left_semi")
+    asked = m.where(F.size("quotes") > 0).select("k", "seq", F.explode("quotes").alias("q")).select("k", "seq", "q.level", "q.h", "q.paragraphs")
+    quotes = asked.where(F.size("paragraphs") > 1).select("k", "h", F.col("paragraphs.h").alias("parts"))
+    quoted = asked.select("k", F.explode("paragraphs").alias("p")).select("k", "p.h", "p.parts").where(F.size("parts") > 1)
+    wanted = asked.select("k", "h")
+    for wholes in (quotes, quoted):
+        wanted = wanted.union(wholes.select("k", F.explode("parts").alias("h")))
+    split = F.coalesce("parts", F.array().cast("array<string>"))
+    pieces = F.array_distinct(hashes(F.concat(F.array("content"), paragraphs(F.col("content")), F.split("content", "\n"), split, F.flatten(F.transform(split, paragraphs)))))
+    sources = m.where(F.col("content") != "").select("k", "seq", F.explode(pieces).alias("h"))
+    sources = written(sources.join(wanted.distinct(), ["k", "h"], "left_semi"), "pieces")
+    # paragraphs that are put together are pieces of the quotes that hold them
+    sources = written(sources.unionByName(holders(sources, quoted)).distinct(), "pieces")
+    sources = sources.unionByName(holders(sources, quotes))
     # a message's own words come after its quotes: doubled numbers keep them apart
     both = asked.select("k", "h", "level", (F.col("seq") * 2).alias("at"), F.lit(None).cast("bigint").alias("from"))
     both = both.unionByName(sources.select("k", "h", F.lit(None).cast("int").alias("level"), (F.col("seq") * 2 + 1).alias("at"), F.col("seq").alias("from")))

@@ -190,6 +190,29 @@ def test_quotation_links(spark):
     assert sorted((r.conv_id, r.position, r.depth, r.reply_to, r.n_linked) for r in flat) == [(1, 0, 0, None, 0), (1, 1, 1, 0, 1), (1, 2, 2, 1, 0), (2, 0, 0, None, 0), (2, 1, 1, 0, 0), (2, 2, 2, 1, 0)]
 
 
+def test_quotes_of_some_pieces(spark):
+    texts = [
+        ("l1\nl2\nl3\nl4\nl5\n\np two\n\np three", None),
+        ("> l2\n> l3\nok", 0),  # lines inside a paragraph
+        ("filler", 1),
+        ("> l1 l2 l3\n> l4 l5\n>\n> p two\nyes", 0),  # two of three paragraphs, one of them broken anew
+        ("> ok\nown a\nown b\n> yes\nown c", 3),
+        ("> own a own b\nre", 4),  # a passage between quotes, broken anew
+        ("l2\n\nother", 5),
+        ("> l2\n> l3\nlater", 0),  # the message before holds one of the lines only
+        ("> l2\n> nowhere\nx", 7),
+        ("> l4\n> l5\n>\n> P  three\nz", 0),  # lines of a paragraph and a whole one, one left out between
+        ("> > own c\n> own a\n> own c\nw", 4),
+        ("> later\n> x\nv", 10),  # no message holds both
+    ]
+    rows = [(c, i, "r", t) for c in (1, 2) for i, (t, _) in enumerate(texts)] + [(3, 0, "r", "q"), (3, 1, "r", "w"), (3, 2, "r", "> l2\n> l3\nq")]
+    got = {(r.conv_id, r.turn): r for r in chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), block=3).collect()}
+    for c in (1, 2):
+        assert [got[c, i].reply_to for i in range(len(texts))] == [p for _, p in texts]
+        assert [got[c, i].n_linked for i in range(len(texts))] == [0, 1, 0, 1, 2, 1, 0, 1, 0, 1, 2, 0]
+    assert got[3, 2].reply_to == 1 and got[3, 2].n_linked == 0
+
+
 def test_reply_order_matches_brute_force(spark):
     rng = random.Random(5)
     rows = []
