@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 16381
-#: The trusted target is at most so many labelled documents, those of smallest hashed id (the documented bound).
-TRUSTED_DOCS = 20_000
 #: A document is kept if its mean log ratio is at least this.
 LEAST = -0.1
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
@@ -85,14 +83,15 @@ def bucket(gram: Column) -> Column:
     return F.pmod(gram, F.lit(BUCKETS)).cast("int")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, text: str = "text", id_col: str = "doc_id", bound: int = TRUSTED_DOCS) -> DataFrame:
-    """One row, one array: ln(target / raw) of each bucket, smoothed by one half. Raw counts cover all documents.
+def log_ratios(docs: DataFrame, trusted: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row, one array: ln(target / raw) of each bucket, smoothed by one half. Target counts cover all trusted documents,
+    raw counts all documents.
 
-    Partial sums are formed before the shuffle, of at most BUCKETS rows a task. The trusted ids are at most `bound` and are
-    broadcast. Without a document or a trusted one all ratios come from the smoothing alone.
+    Partial sums are formed before the shuffle, of at most BUCKETS rows a task. Texts are shuffled once to meet the
+    trusted ids, whose number has no bound. Without a document or a trusted one all ratios come from the smoothing alone.
     """
-    ids = trusted.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(id_col), id_col).limit(bound).withColumn("_t", F.lit(1))
-    flagged = docs.select(id_col, text).join(F.broadcast(ids), id_col, "left")
+    ids = trusted.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct().withColumn("_t", F.lit(1))
+    flagged = docs.select(id_col, text).join(ids.hint("shuffle_hash"), id_col, "left")
     c = flagged.select("_t", F.transform(words(F.col(text)), lambda w: F.crc32(w.cast("binary"))).alias("crcs"))
     each = c.select("_t", F.explode(F.concat("crcs", pairs(F.col("crcs"), F.size("crcs")))).alias("g"))
     counts = each.select("_t", bucket(F.col("g")).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_t").alias("target"))

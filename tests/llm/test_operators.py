@@ -98,6 +98,12 @@ def test_rules_counts(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain(texts[r.doc_id]), repr(texts[r.doc_id])
 
 
+def test_target_counts_all_trusted_documents(spark):
+    docs = spark.range(20_500).selectExpr("id AS doc_id", "concat('word', id % 7000, ' again') AS text")
+    trusted = docs.select("doc_id").union(spark.sql("SELECT explode(array(1L, NULL, -5L))"))
+    assert set(quality_rules.log_ratios(docs, trusted).first().ratio) == {0.0}
+
+
 def test_pii_spans(spark):
     r = {x.doc_id: x for x in pii.digest(spark.createDataFrame([(1, "é a@b.c_d@e.f 1.2.3.4.5.6.7.8 1.2.3.999"), (2, "4111 1111-1111 1111 4111111111111112"), (3, "9" * 9000 + " " + "a." * 9000)], SCHEMA)).collect()}
     assert r[1].base_sha256 == hashlib.sha256(b"email:2:7,email:7:13,ip:14:21,ip:22:29").hexdigest()
