@@ -90,9 +90,14 @@ class Items:
         self.at = (np.arange(len(h)) - starts[owner[: len(h)]])[ok][order]
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(self.seed >> U(42)).astype(np.int64)] = True
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i, w in enumerate(self.words):
+            if 0 < len(w) < least:
+                self.short.setdefault(len(w), {}).setdefault(int(window_hashes(w, len(w))[0]), []).append(i)
 
     def hits(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, float]]:
-        """(document, item, coverage) of all pairs whose seeds alone could reach any coverage."""
+        """(document, item, coverage) of all pairs whose seeds alone could reach any coverage; an item too short for a seed counts
+        where the document holds the whole of it."""
         h = window_hashes(words, self.least)
         near = np.flatnonzero(self.filter[(h >> U(42)).astype(np.int64)])
         lo, hi = np.searchsorted(self.seed, h[near]), np.searchsorted(self.seed, h[near], side="right")
@@ -105,6 +110,13 @@ class Items:
                 reach[d, int(self.item[s])].update(range(int(self.at[s]), int(self.at[s]) + self.least))
         for (d, i), covered in reach.items():
             yield d, i, len(covered) / len(self.words[i])
+        for n, by_hash in self.short.items():
+            h = window_hashes(words, n)
+            near = np.flatnonzero(np.isin(h, np.array(list(by_hash), U)))
+            doc = np.searchsorted(starts, near, side="right") - 1
+            inside = near + n <= starts[doc + 1]
+            for d, i in {(d, i) for d, g in set(zip(doc[inside].tolist(), h[near[inside]].tolist())) for i in by_hash[g]}:
+                yield d, i, 1.0
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str, least: int, limit: int) -> Iterator[Items]:
@@ -125,7 +137,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
     """id, item_id, coverage of every pair of a document and a benchmark item whose coverage is at least `coverage`.
 
     Seeds bound the coverage from above, so pairs that cannot reach it are not tiled; all others are. An item of fewer than
-    `least` words can't be found. Whole texts, no shuffle; a block of items is broadcast at a time. Nulls match nothing.
+    `least` words is found where a document holds the whole of it in one run. Whole texts, no shuffle; a block of items is broadcast at a time. Nulls match nothing.
     """
     d, i = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
     out = None
@@ -140,7 +152,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
                     at, item, share = [], [], []
                     for k, j, most in bench.hits(words, starts):
                         if most >= coverage:
-                            got = float(tiles(bench.words[j], words[starts[k] : starts[k + 1]], least).mean())
+                            short = len(bench.words[j]) < least
+                            got = 1.0 if short else float(tiles(bench.words[j], words[starts[k] : starts[k + 1]], least).mean())
                             if got >= coverage:
                                 at.append(k)
                                 item.append(bench.ids[j])

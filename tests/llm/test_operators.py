@@ -164,6 +164,14 @@ def test_tiling_finds_reordered_passages(spark):
         assert [(r.doc_id, r.item_id, r.coverage) for r in got] == [(1, 9, 1.0)]
 
 
+def test_short_items_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, "ask: Who was first? nobody"), (2, "who was"), (3, "first who was"), (4, "first"), (5, None), (6, "who was first, who was first"), (7, "one two three four five six")], SCHEMA)
+    bench = spark.createDataFrame([(1, "Who was first"), (2, "first"), (3, ""), (4, "who  was first!"), (5, "two three four five"), (6, "one two three four five")], "item_id bigint, text string")
+    want = [(1, 1), (1, 2), (1, 4), (3, 2), (4, 2), (6, 1), (6, 2), (6, 4), (7, 5), (7, 6)]
+    for limit in (1, 1 << 20):
+        assert sorted((r.doc_id, r.item_id, r.coverage) for r in decontaminate.overlaps(docs, bench, limit=limit).collect()) == [(*w, 1.0) for w in want]
+
+
 def test_language_mixture():
     rng = random.Random(2)
     word = lambda parts: "".join(rng.choice(parts) for _ in range(3))
