@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,38 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """While this holds, Arrow batches have at most so many rows: both sides of a Python worker's pipe hold one or two at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, min(int(was), rows) if int(was) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, in a worker that gives its memory back when a task ends: an idle worker keeps no batch and no free heap."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps its free heap
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes df as Parquet to the shared folder and reads it back. The files go with the session."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)

@@ -51,7 +51,7 @@ def statistics(col: pa.Array) -> np.ndarray:
     doc = np.repeat(np.arange(n), size)
     kinds = np.bincount(doc * 9 + CLASSES[data], minlength=n * 9).reshape(n, 9)
     lines = np.bincount(doc[data == 10], minlength=n) + 1
-    run_doc, _ = shingle_hashes(words, starts, 3)
+    run_doc, *_ = shingle_hashes(words, starts, 3)
     runs = np.bincount(run_doc, minlength=n)
     out = np.zeros((n, len(FEATURES)))
     raw = data.tobytes()

@@ -56,8 +56,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = S
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U)), np.searchsorted(starts, offsets)
 
 
-def shingle_hashes(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Document and hash of every run of `width` words; a text of fewer words, but at least one, has all its words as one run."""
+def shingle_hashes(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, hash and count of every run of `width` words; a text of fewer words, but at least one, has all its words as one run."""
     counts = np.diff(starts)
     docs, hashes = [], []
     long = np.flatnonzero(counts >= width)
@@ -77,9 +77,16 @@ def shingle_hashes(words: np.ndarray, starts: np.ndarray, width: int) -> tuple[n
         docs.append(np.array([d]))
         hashes.append(mix(h))
     if not docs:
-        return np.zeros(0, np.int64), np.zeros(0, U)
+        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64)
     doc, h = np.concatenate(docs), np.concatenate(hashes)
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])]
-    return doc[new], h[new]  # each once in a document, sorted
+    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])])
+    return doc[new], h[new], np.diff(np.r_[new, len(doc)])  # each once in a document, sorted
+
+
+def numbered(doc: np.ndarray, h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each run as often as it occurs, the first under its own hash, the next under others: counts as plain sets."""
+    again = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    each = np.repeat(h, count)
+    return np.repeat(doc, count), np.where(again > 0, mix(each + again.astype(U) * U(0x9E3779B97F4A7C15)), each)
