@@ -11,6 +11,7 @@ The vocabulary is a byte-level BPE file of the `tokenizers` library. It is read
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from itertools import chain
 
@@ -19,11 +20,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal
+
 #: Fixed value: the pre-tokenisation pattern of the byte-level BPE vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Fragments kept in a worker's cache before it is emptied; about 100 MB.
-CACHE = 400_000
+#: The same with the white space of Unicode spelled out, for fragments that the compiled merger doesn't get.
+PLAIN = PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+
+#: Fragments of at most KEPT bytes kept in a worker's cache before it is emptied, about 20 MB; a task empties it at its end.
+CACHE, KEPT = 80_000, 64
+#: Bytes from which a fragment, such as a run of white space, is matched and merged here: the compiled matcher recurses over it.
+LONG = 4096
 
 
 def byte_chars() -> dict[str, int]:
@@ -88,25 +96,44 @@ class ForcedBoundaryCodec:
         return [raw[i:j] for i, j in zip([0, *at], [*at, len(raw)])]
 
     def _merge(self, piece: bytes) -> list[int]:
-        """Plain BPE of one match: the pair of lowest rank merges first, leftmost where equal."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get((parts[i], parts[i + 1]), 1 << 30), i) for i in range(len(parts) - 1))
-            if rank == 1 << 30:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.vocab[p] for p in parts]
+        """Plain BPE of one match: the pair of lowest rank merges first, leftmost where equal. A heap holds the pairs, so time
+        grows little faster than the match; a pair whose parts have changed since is skipped."""
+        n = len(piece)
+        part = [piece[i : i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank = self.ranks.get
+        heap = [(r, i) for i in range(n - 1) if (r := rank((part[i], part[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if part[i] is None or j >= n or rank((part[i], part[j])) != r:
+                continue
+            part[i] += part[j]
+            part[j] = None
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (new := rank((part[i], part[k]))) is not None:
+                    heapq.heappush(heap, (new, i))
+            if (h := before[i]) >= 0 and (new := rank((part[h], part[i]))) is not None:
+                heapq.heappush(heap, (new, h))
+        return [self.vocab[p] for p in part if p is not None]
+
+    def _match(self, piece: bytes) -> list[int]:
+        """Ids of one match of the pattern."""
+        return self._merge(piece) if self.fast is None or len(piece) >= LONG else self.fast.encode_ordinary(piece.decode())
 
     def _fragment(self, raw: bytes) -> list[int]:
-        if self.fast is not None:
+        if self.fast is not None and len(raw) < LONG:
             ids = self.fast.encode_ordinary(raw.decode())
         else:
             import regex
 
-            ids = [i for m in regex.findall(PATTERN, raw.decode()) for i in self._merge(m.encode())]
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
-        if len(raw) <= 64:
+            ids = list(chain.from_iterable(self._match(m[0].encode()) for m in regex.finditer(PLAIN, raw.decode())))
+        if len(raw) <= KEPT:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
             self.cache[raw] = ids
         return ids
 
@@ -132,13 +159,34 @@ _CODECS: dict[str, ForcedBoundaryCodec] = {}
 
 
 def codec(spec: str) -> ForcedBoundaryCodec:
-    """One codec for a vocabulary in each worker process."""
+    """The codec of a vocabulary; a worker process keeps the last one."""
     key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _CODECS:
+        _CODECS.clear()
         _CODECS[key] = ForcedBoundaryCodec(spec)
     return _CODECS[key]
 
 
+def with_codec(spec, run):
+    """run(codec, batches) for mapInArrow; the cache of fragments goes with the task."""
+
+    def each(batches):
+        c = codec(spec.value)
+        try:
+            yield from run(c, batches)
+        finally:
+            c.cache.clear()
+
+    return frugal(each)
+
+
+def pieces(batches, rows: int = 256):
+    """Slices of the batches: ids take more room than texts."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -161,17 +209,13 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     docs = docs.select(*(f"`{c}`" for c in kept))
     schema = docs.withColumn("token_ids", F.array().cast("array<int>")).withColumn("decoded", F.lit("")).schema
 
-    def run(batches):
-        c = codec(spec.value)
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            for start in range(0, batch.num_rows, 256):  # ids take more room than texts
-                part = batch.slice(start, 256)
-                ids = [c.encode(t) for t in part.column(at).to_pylist()]
-                made = [pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode(i) for i in ids], pa.string())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, "token_ids", "decoded"])
+    def run(c, batches):
+        for part in pieces(batches):
+            ids = [c.encode(t) for t in part.column(part.schema.get_field_index(text)).to_pylist()]
+            made = [pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode(i) for i in ids], pa.string())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, "token_ids", "decoded"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(with_codec(spec, run), schema)
 
 
 def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,46 +225,44 @@ def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text: str
     """
     spec = broadcast_spec(docs.sparkSession, path)
 
-    def run(batches):
-        c = codec(spec.value)
-        for batch in batches:
+    def run(c, batches):
+        for part in pieces(batches):
             n, of_ids, of_text = [], [], []
-            for t in batch.column(1).to_pylist():
+            for t in part.column(1).to_pylist():
                 ids = c.encode(t)
                 n.append(len(ids))
                 of_ids.append(hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest())
                 of_text.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select(id_col, text).mapInArrow(with_codec(spec, run), f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def section_bounds(text: str) -> np.ndarray:
+    """Character offsets that cut a text into sections, both ends included: a section ends with a run of line ends (`\\n`), which
+    belongs to it. An empty text is one empty section."""
+    line_end = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 10
+    starts = np.flatnonzero(line_end[:-1] & ~line_end[1:]) + 1
+    return np.concatenate([[0], starts, [len(text)]]).astype(np.int64)
 
-def section_spans(text: str) -> list[tuple[int, int]]:
-    """Sections of a text as character spans that cover it: a section ends with a run of line ends (`\\n`), which belongs to it."""
-    spans, start, n = [], 0, len(text)
-    while start < n:
-        end = text.find("\n", start)
-        end = n if end < 0 else end + 1
-        while end < n and text[end] == "\n":
-            end += 1
-        spans.append((start, end))
-        start = end
-    return spans
 
+def token_spans(raw: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Character offsets (end exclusive) of tokens that cover a text's bytes in order; a token that holds part of a character spans
+    the whole of it, as the offsets of the `tokenizers` library do."""
+    char = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80) - 1
+    ends = np.cumsum(lengths)
+    return char[ends - lengths], char[ends - 1] + 1
 
-def attribute(lengths: np.ndarray, bounds: np.ndarray, rule: str) -> np.ndarray:
-    """Tokens of each section. lengths: bytes of the tokens in order; bounds: byte offsets of the sections, both ends included.
 
-    A token whose bytes cross a boundary goes to the section that holds its first byte (`start`), its last byte (`end`), or
-    most of its bytes, the earlier one where equal (`majority`). Each token counts once, so the sum is the document's count.
+def attribute(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
+    """Section of each token, and whether it crosses a boundary: an interval join of token spans and section bounds.
+
+    A token that crosses goes to the section that holds its first character (`start`), its last (`end`), or most of its
+    characters, the earliest where equal (`majority`). Each token counts once, so the sum is the document's count.
     """
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
     first = np.searchsorted(bounds, starts, side="right") - 1
     last = np.searchsorted(bounds, ends - 1, side="right") - 1
-    n = len(bounds) - 1
     if rule == "start":
         own = first
     elif rule == "end":
@@ -228,48 +270,41 @@ def attribute(lengths: np.ndarray, bounds: np.ndarray, rule: str) -> np.ndarray:
     elif rule == "majority":
         own = first.copy()
         for i in np.flatnonzero(first != last):
-            spans = range(first[i], last[i] + 1)
-            share = [min(ends[i], bounds[s + 1]) - max(starts[i], bounds[s]) for s in spans]
-            own[i] = first[i] + int(np.argmax(share))
+            cuts = np.clip(bounds[first[i] : last[i] + 2], starts[i], ends[i])
+            own[i] = first[i] + int(np.argmax(np.diff(cuts)))
     else:
         raise ValueError(f"no such rule: {rule}")
-    return np.bincount(own, minlength=n)[:n]
+    return own, first != last
 
 
 def section_token_counts(docs: DataFrame, path: str, rule: str = "majority", id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Token counts of every section of every document, from one encoding of the whole document.
 
-    The tokens' spans are joined to the section spans; `rule` says who gets a token that crosses a boundary (see attribute()).
-    Returns id, section (from 0), start_char and end_char (code points, end exclusive), n_tokens, n_crossing (tokens of the
-    section that also touch another) and doc_tokens. A null or empty text returns one row: section 0, no characters, no tokens.
+    The tokens' character spans are joined to the section spans; `rule` says who gets a token that crosses a boundary (see
+    attribute()). Returns id, section (from 0), start_char and end_char (code points, end exclusive), n_tokens, n_crossing
+    (tokens of the section that also touch another) and doc_tokens. A null or empty text returns one row: section 0, no
+    characters, no tokens. Repeated rows and null ids stay as they are; extra columns are left out.
     """
     spec = broadcast_spec(docs.sparkSession, path)
+    names = [id_col, "section", "start_char", "end_char", "n_tokens", "n_crossing", "doc_tokens"]
 
-    def run(batches):
-        c = codec(spec.value)
+    def run(c, batches):
         width = np.zeros(max(c.bytes_of) + 1, np.int64)
         for i, t in c.bytes_of.items():
             width[i] = len(t)
-        for batch in batches:
-            for part in (batch.slice(s, 512) for s in range(0, batch.num_rows, 512)):
-                cols: list[list] = [[] for _ in range(7)]
-                for ident, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    t = t or ""
-                    spans = section_spans(t) or [(0, 0)]
-                    ids = np.asarray(c.encode(t), np.int64)
-                    lengths = width[ids]
-                    bounds = np.cumsum([0, *(len(t[a:b].encode()) for a, b in spans)])
-                    if len(ids):
-                        got = attribute(lengths, bounds, rule)
-                        ends = np.cumsum(lengths)
-                        first = np.searchsorted(bounds, ends - lengths, side="right") - 1
-                        crossing = np.bincount(first[first != np.searchsorted(bounds, ends - 1, side="right") - 1], minlength=len(spans))
-                    else:
-                        got = crossing = np.zeros(len(spans), np.int64)
-                    for k, (a, b) in enumerate(spans):
-                        for col, v in zip(cols, (ident, k, a, b, int(got[k]), int(crossing[k]), len(ids))):
-                            col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], part.schema.field(0).type), *(pa.array(x, pa.int64()) for x in cols[1:])], names=[id_col, "section", "start_char", "end_char", "n_tokens", "n_crossing", "doc_tokens"])
+        for part in pieces(batches):
+            found = []
+            for k, t in enumerate(part.column(1).to_pylist()):
+                t = t or ""
+                bounds, ids = section_bounds(t), np.asarray(c.encode(t), np.int64)
+                n = len(bounds) - 1
+                counts = crossing = np.zeros(n, np.int64)
+                if len(ids):
+                    own, crosses = attribute(*token_spans(t.encode(), width[ids]), bounds, rule)
+                    counts, crossing = np.bincount(own, minlength=n), np.bincount(own[crosses], minlength=n)
+                found.append(np.stack([np.full(n, k), np.arange(n), bounds[:-1], bounds[1:], counts, crossing, np.full(n, len(ids))]))
+            rows = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows[0])), *(pa.array(x, pa.int64()) for x in rows[1:])], names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, section bigint, start_char bigint, end_char bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint")
+    return docs.select(id_col, text).mapInArrow(with_codec(spec, run), f"`{id_col}` {kind}, section bigint, start_char bigint, end_char bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint")
