@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from .common import dropped, written
 
-#: Quote marks at the start of a line, white space between them; their number is the quote level.
-MARK = r"^[\x20\t]*((?:>[\x20\t]?)+)"
+#: Quote marks at the start of a line, white space between them; their number is the quote level. Possessive, so that the
+#: matcher loops over a long run of marks rather than recursing.
+MARK = r"^[\x20\t]*+((?:>[\x20\t]?+)++)"
 #: "On ... wrote:" lines before a quote say who wrote it; they go with the quote.
 ATTRIBUTION = r"(?i)^[\x20\t]*(?:on\b.*\bwrote|am\b.*\bschrieb.*|le\b.*\ba [ée]crit|el\b.*\bescribi[óo])[\x20\t]*:[\x20\t]*$"
 
@@ -25,7 +26,7 @@ def normal(text: Column) -> Column:
 
 def paragraphs(text: Column) -> Column:
     """array<string> of what blank lines part."""
-    return F.split(text, "\n[\\x20\\t]*\n")
+    return F.split(text, "\n[\\x20\\t]*+\n")
 
 
 def hashes(texts: Column) -> Column:
@@ -41,17 +42,20 @@ def lines_of(text: Column) -> Column:
     )
 
 
-def passages(lines: Column) -> Column:
-    """array<struct<level, text>>: runs of lines of one level, blank lines staying with the run they are in."""
-    empty = F.array().cast("array<struct<level:int,text:string>>")
+def run_starts(lines: Column) -> Column:
+    """array<int>: numbers (from 1) of the lines whose level is not that of the line before."""
+    return F.filter(F.sequence(F.lit(1), F.greatest(F.size(lines), F.lit(1))), lambda i: ~F.get(lines, i - 1)["level"].eqNullSafe(F.get(lines, i - 2)["level"]))
 
-    def step(a: Column, x: Column) -> Column:
-        last = F.get(a, F.size(a) - 1)
-        same = (F.size(a) > 0) & (last["level"] == x["level"])
-        grown = F.concat(F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))), F.array(F.struct(x["level"].alias("level"), F.concat_ws("\n", last["text"], x["body"]).alias("text"))))
-        return F.when(same, grown).otherwise(F.concat(a, F.array(F.struct(x["level"].alias("level"), x["body"].alias("text")))))
 
-    return F.aggregate(lines, empty, step)
+def passages(lines: Column, starts: Column) -> Column:
+    """array<struct<level, text>>: runs of lines of one level, blank lines staying with the run they are in. Each line is copied
+    once. Both arguments must be columns, not expressions, as each passage reads them."""
+
+    def one(s: Column, k: Column) -> Column:
+        after = F.coalesce(F.get(starts, k + 1), F.size(lines) + 1)
+        return F.struct(F.get(lines, s - 1)["level"].alias("level"), F.array_join(F.transform(F.slice(lines, s, after - s), lambda x: x["body"]), "\n").alias("text"))
+
+    return F.transform(F.filter(starts, lambda s: s <= F.size(lines)), one)
 
 
 def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -76,7 +80,7 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     m = m.withColumn("k", F.struct("c", own.alias("own"))).withColumn("tb", F.floor(F.col("t") / block))
     m = m.withColumn("at", F.row_number().over(Window.partitionBy("k", "tb").orderBy(F.col("t").asc_nulls_first(), "r", "x")) - 1)
     m = m.withColumn("_l", lines_of(F.col("x"))).withColumn("_l", F.filter("_l", lambda l: ~((l["level"] == 0) & l["body"].rlike(ATTRIBUTION) & F.exists("_l", lambda y: y["level"] > 0))))
-    m = m.withColumn("_p", passages(F.col("_l")))
+    m = m.withColumn("_s", run_starts(F.col("_l"))).withColumn("_p", passages(F.col("_l"), F.col("_s")))
     own_parts = F.transform(F.filter("_p", lambda p: p["level"] == 0), lambda p: p["text"])
     m = m.withColumn("parts", F.when(F.size(own_parts) > 1, own_parts))
     m = m.withColumn("content", F.trim(F.array_join(own_parts, "\n")))
