@@ -24,7 +24,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base of running hashes, and of its inverse."""
     if len(_POWERS[0]) < n:
         size = 1 << (n - 1).bit_length()
         for i, base in enumerate((_BASE, _INVERSE)):
@@ -50,7 +51,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = S
     before = cuts[cuts > 0] - 1
     last[before] |= inside[before]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _powers(n)
+    up, down = powers(n)
     sums = np.zeros(n + 1, U)
     np.cumsum(_BYTE[data] * up, out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U)), np.searchsorted(starts, offsets)
