@@ -1,8 +1,9 @@
 """Personal data by weak supervision.
 
 Four base patterns give spans that always stay. Wider candidate patterns give further spans; on base and wider spans alike,
-labelers vote (format, gazetteer, context, repetition). Expectation-maximisation over the counts of vote patterns estimates
-how reliable each labeler is; its posteriors train a logistic classifier of spans, which decides on the wider ones.
+labelers vote (format, gazetteer, context, variety, repetition). Expectation-maximisation over the counts of vote patterns
+estimates how reliable each labeler is; its posteriors train a logistic classifier of spans, which decides on the wider ones.
+Secrets (keys, tokens, passwords) have no base pattern; all of them are wider spans.
 
 Built-in functions only. The counts are of vote and feature patterns (at most CELLS rows whatever the corpus), so the
 estimation itself is a short loop on the driver over that table.
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds in the order of their rendering; those without a base pattern come last.
+ALL = (*KINDS, "secret")
 
 #: The base patterns. `\\G` and the look-behinds only skip starts that cannot match, possessive quantifiers
 #: only forbid steps back that cannot help; the matches are those of the plain patterns, in time linear in the text.
@@ -26,32 +29,54 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: A text without these holds no match; the test costs less than the search.
 NEEDED = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
 
-#: Wider candidates: spelled-out or bracketed e-mail, IPv6, long digit groups with dots or slashes, national phone numbers.
+#: Wider candidates: spelled-out or bracketed e-mail, IPv6, long digit groups with dots or slashes, national phone numbers; of
+#: secrets the forms of well-known issuers, private key blocks, values set to a telling name, and long mixed strings.
+_HEX4, _NAME = r"[0-9A-Fa-f]{1,4}", r"(?i:passwo?r?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|client[_-]?key)"
 WIDE = {
-    "email": r"[A-Za-z0-9._%+-]++\x20?(?:\[at\]|\(at\)|\{at\})\x20?[A-Za-z0-9-]++(?:(?:\x20?(?:\[dot\]|\(dot\)|\{dot\})\x20?|\.)[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
+    "email": r"[A-Za-z0-9._%+-]++\x20?(?i:\[at\]|\(at\)|\{at\})\x20?[A-Za-z0-9-]++(?:(?:\x20?(?i:\[dot\]|\(dot\)|\{dot\})\x20?|\.)[A-Za-z0-9-]++)++",
+    "ip": rf"(?<![0-9A-Za-z:])(?:{_HEX4}(?::{_HEX4}){{7}}|(?:{_HEX4}(?::{_HEX4}){{0,5}})?::{_HEX4}(?::{_HEX4}){{0,5}}|{_HEX4}(?::{_HEX4}){{1,6}}::)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
+    "secret": r"-----BEGIN[A-Z\x20]{0,30}PRIVATE\x20KEY-----[A-Za-z0-9+/=\s]*+(?:-----END[A-Z\x20]{0,30}PRIVATE\x20KEY-----)?"
+    rf"|(?<={_NAME}[\"']{{0,1}}\x20{{0,2}}[:=]\x20{{0,2}}[\"']{{0,1}})[^\s\"',;<>]{{6,}}+"
+    r"|(?<![A-Za-z0-9+/=_.-])(?:eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++)?|[A-Za-z0-9+/_-]{20,}+={0,2})(?![A-Za-z0-9+/=_-])",
+}
+WIDE_NEEDED = {
+    "email": r"(?i:\[at\]|\(at\)|\{at\})",
+    "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:|::[0-9A-Fa-f]|[0-9A-Fa-f]::",
+    "card": r"[0-9]{4}[./_][0-9]{4}",
+    "phone": r"[0-9]{3}[\x20.-][0-9]{4}",
+    "secret": rf"[A-Za-z0-9+/_-]{{20}}|PRIVATE\x20KEY|{_NAME}[\"']{{0,1}}\x20{{0,2}}[:=]",
 }
-WIDE_NEEDED = {"email": r"(?:\[at\]|\(at\)|\{at\})", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:", "card": r"[0-9]{4}[./_][0-9]{4}", "phone": r"[0-9]{3}[\x20.-][0-9]{4}"}
 
+#: Top-level domains of general use and of countries with many speakers of the corpus's languages.
+DOMAINS = (
+    "com org net edu gov mil int info biz name pro io ai app dev co me tv cc online site shop tech cloud blog "
+    "us uk ca au nz ie za in de at ch li fr be lu nl es mx ar cl pe ve uy ec it pt br pl cz sk hu ro bg gr "
+    "se no dk fi is ee lv lt ru ua by tr il ae sa eg ma dz tn ng ke gh jp cn kr tw hk sg my th vn id ph pk bd lk eu"
+)
+#: Calling codes of the numbering zones; two and three digits where a zone has no code of one.
+CALLING = "1 7 20 27 3[0-469] 4[013-9] 5[1-8] 6[0-6] 8[1246] 9[0-58] 2[1-69][0-9] 3[578][0-9] 42[0-9] 5[09][0-9] 6[789][0-9] 8[0578][0-9] 9[679][0-9]"
 #: Gazetteers and cue words, by kind.
 GAZETTEER = {
-    "email": r"(?i)(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$",
-    "ip": r"^(?:[0-9]{1,3}\.|(?i:2[0-9a-f]{3}|fe80|fd[0-9a-f]{2}):)",
-    "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6)",
-    "phone": r"^(?:\+[1-9]|\(?[2-9])",
+    "email": rf"(?i)(?:^|[.\x20)\]}}])(?:{'|'.join(DOMAINS.split())})$",
+    "ip": r"^(?!0|255|(?:[0-9]{1,3}\.){3}0+$)[0-9]{1,3}\.|^(?i:2[0-9a-f]{3}|fe80|f[cd][0-9a-f]{2}|64):",
+    "card": r"^(?:4|5[0-8]|2[2-7]|3[0-9]|6)",
+    "phone": rf"^\+\x20?\(?(?:{'|'.join(CALLING.split())})|^\(?[2-9]",
+    "secret": r"^(?:AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|[sr]k[-_]|pk_live|eyJ|SG\.|npm_|hf_|-----BEGIN)|^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{48}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{48}|[0-9A-F]{64})$",
 }
 CUES = {
-    "email": r"(?i)\b(?:e-?mail|mail|contact|write|from|to|kontakt|correo|courriel)\b",
-    "ip": r"(?i)\b(?:ip|host|address|addr|server|client|login)\b",
-    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|payment|karte|carte|tarjeta)\b",
-    "phone": r"(?i)\b(?:phone|tel|telephone|call|mobile|cell|fax|telefon|tel[eé]fono|appel)\b",
+    "email": r"(?i)\b(?:e-?mail|mail|mailto|contact|write|reach|send|from|to|cc|kontakt|schreib|correo|escrib|courriel|adresse)\b",
+    "ip": r"(?i)\b(?:ip|host|address|addr|server|client|login|gateway|ping|subnet|ssh|adresse|direcci[oó]n|servidor|serveur)\b",
+    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|payment|pay|cvv|expir\w*|karte|kreditkarte|carte|tarjeta|pago)\b",
+    "phone": r"(?i)\b(?:phone|tel|telephone|call|mobile|cell|fax|whatsapp|sms|dial|telefon|handy|rufnummer|tel[eé]fono|m[oó]vil|appel|t[eé]l[eé]phone|portable)\b",
+    "secret": rf"{_NAME}|(?i)\b(?:key|bearer|authorization|credential\w*|login|schl[uü]ssel|kennwort|passwort|contrase[nñ]a|clave|mot\x20de\x20passe)\b",
 }
-AGAINST = r"(?i)\b(?:version|order|invoice|isbn|issn|serial|ticket|part|page|figure|section|id|ref|sku|total)\b\W*$"
-CONTEXT = 32
-#: At most so many rows of votes and features: 4 kinds, 2 origins, 81 vote patterns, 12 feature patterns.
-CELLS = 4 * 2 * 81 * 12
+AGAINST = r"(?i)\b(?:version|order|invoice|isbn|issn|serial|ticket|part|page|figure|section|id|ref|sku|total|commit|checksum|sha-?[0-9]*|md5|digest|hash|https?:/?)\b\W*$"
+CONTEXT, NEAR = 32, 256
+#: At most so many rows of votes and features: 5 kinds, 2 origins, 243 vote patterns, 12 feature patterns.
+VOTES = 5
+CELLS = len(ALL) * 2 * 3**VOTES * 12
 SURE = 0.9
 
 
@@ -115,7 +140,7 @@ def with_candidates(base: DataFrame, keep: list[str]) -> DataFrame:
         return F.transform(c, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"), x["m"].alias("m")))
 
     all_base = F.concat(*(tagged(F.col(f"_{k}"), i) for i, k in enumerate(KINDS)))
-    raw = F.concat(*(tagged(matches(F.col("_t"), WIDE[k], WIDE_NEEDED[k]), i) for i, k in enumerate(KINDS)))
+    raw = F.concat(*(tagged(matches(F.col("_t"), WIDE[k], WIDE_NEEDED[k]), i) for i, k in enumerate(ALL)))
     one = base.select(*keep, "_t", all_base.alias("_base"), raw.alias("_raw"))
     touches = lambda x, y: (x["s"] < y["e"]) & (y["s"] < x["e"])
     two = one.withColumn("_free", F.filter("_raw", lambda x: ~F.exists(F.col("_base"), lambda y: touches(x, y))))
@@ -123,22 +148,51 @@ def with_candidates(base: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def of_kind(k: Column, make) -> Column:
-    c = make(KINDS[0])
-    for i, name in enumerate(KINDS[1:], 1):
+    c = make(ALL[0])
+    for i, name in enumerate(ALL[1:], 1):
         c = F.when(k == i, make(name)).otherwise(c)
     return c
 
 
+def well_formed(kind: str, m: Column, wide: Column) -> Column:
+    """The format labeler: what the base and the wider patterns leave open about the form."""
+    if kind == "email":
+        plain = m.rlike(r"^[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}$")
+        return F.when(F.when(wide, m.rlike(r"(?i)dot\W|\.[A-Za-z]{2,24}$")).otherwise(plain), 1).otherwise(-1)
+    if kind == "ip":
+        return F.when(F.when(wide, m.rlike(r"[0-9]") & m.rlike(r":[^:]+:|::")).otherwise(m.rlike(r"^[1-9][0-9]{0,2}(?:\.(?:0|[1-9][0-9]{0,2})){3}$")), 1).otherwise(-1)
+    if kind == "card":
+        d = digits(m)
+        issued = d.rlike(r"^(?:4[0-9]{15}(?:[0-9]{3})?|5[0-8][0-9]{14}|2[2-7][0-9]{14}|3[47][0-9]{13}|3[0689][0-9]{12}|6[0-9]{15,18})$")
+        return F.when(wide & ~luhn(d), -1).when(issued, 1).otherwise(0)
+    if kind == "phone":
+        even = F.length(F.regexp_replace(m, r"[^(]", "")) == F.length(F.regexp_replace(m, r"[^)]", ""))
+        return F.when(~even, -1).when(m.rlike(r"^\+[1-9]|^\([2-9]|^[2-9].*([.-])[0-9]{3}\1"), 1).otherwise(0)
+    mixed = m.rlike(r"[0-9]") & m.rlike(r"[A-Za-z]")
+    return F.when(m.rlike(r"^-----BEGIN"), 1).when(~mixed | m.rlike(r"/.*/|^[0-9]+-[0-9]+-"), -1).when(F.length(m) >= 16, 1).otherwise(0)
+
+
 def votes(x: Column, text: Column, wide: Column) -> list[Column]:
-    """+1 for personal data, -1 against, 0 for no opinion: format, gazetteer, context, repetition."""
+    """+1 for personal data, -1 against, 0 for no opinion: format, gazetteer, context, variety, repetition.
+
+    variety: a value of one or two different characters is a placeholder. repetition: a value that stands in its NEAR
+    characters again and again is a table's or a template's.
+    """
     m, k = x["m"], x["k"]
     before = F.substr(text, F.greatest(x["s"] - CONTEXT + 1, F.lit(1)), F.least(x["s"], F.lit(CONTEXT)))
-    d = digits(m)
-    strict = of_kind(k, lambda n: F.when(~wide, 1).when(m.rlike({"email": r"dot", "ip": r"^(?i)(?:2[0-9a-f]{3}|f)", "card": r"^(.{4}\D){3}.{4}$", "phone": r"^\([2-9]|^[2-9].*([.-])[0-9]{3}\1"}[n]), 1).otherwise(0))
-    gazetteer = of_kind(k, lambda n: F.when(m.rlike(GAZETTEER[n]), 1).otherwise(-1))
+    around = F.substr(text, F.greatest(x["s"] - NEAR + 1, F.lit(1)), F.least(x["s"], F.lit(NEAR)) + (x["e"] - x["s"]) + NEAR)
+    d = F.when(k == ALL.index("secret"), m).otherwise(digits(m))
+    gazetteer = of_kind(k, lambda n: F.when(m.rlike(GAZETTEER[n]), 1).otherwise(F.lit(0) if n == "secret" else F.lit(-1)))
     context = F.when(before.rlike(AGAINST), -1).when(of_kind(k, lambda n: before.rlike(CUES[n])), 1).otherwise(0)
-    plain = (F.length(d) >= 7) & (F.length(F.array_join(F.array_distinct(F.split(d, "")), "")) <= 2)
-    return [strict, gazetteer, context, F.when(plain, -1).when(F.length(d) >= 7, 1).otherwise(0)]
+    kinds = F.size(F.array_distinct(F.split(F.left(d, F.lit(64)), "")))
+    times = (F.length(around) - F.length(F.replace(around, m, F.lit("")))) / F.length(m)
+    return [
+        of_kind(k, lambda n: well_formed(n, m, wide)),
+        gazetteer,
+        context,
+        F.when(F.length(d) < 7, 0).when(kinds <= 3, -1).otherwise(1),  # split adds one empty piece
+        F.when(times >= 3, -1).when(times >= 2, 0).otherwise(1),
+    ]
 
 
 def features(x: Column) -> list[Column]:
@@ -155,7 +209,7 @@ def cells(spans: DataFrame) -> DataFrame:
     rows = some.select("_t", F.explode(both).alias("z"))
     x, wide = F.col("z.x"), F.col("z.wide")
     named = [c.alias(f"v{i}") for i, c in enumerate(votes(x, F.col("_t"), wide))] + [c.alias(f"f{i}") for i, c in enumerate(features(x))]
-    keys = ["k", "wide", *(f"v{i}" for i in range(4)), "f0", "f1"]
+    keys = ["k", "wide", *(f"v{i}" for i in range(VOTES)), "f0", "f1"]
     return rows.select(x["k"].alias("k"), wide.alias("wide"), *named).groupBy(*keys).agg(F.count("*").alias("n"))
 
 
@@ -182,17 +236,17 @@ def label_model(patterns: dict[tuple[int, ...], float], rounds: int = 50) -> dic
 
 
 def terms(row) -> tuple[str, ...]:
-    return ("bias", f"k{row['k']}", *(f"v{i}={row[f'v{i}']}" for i in range(4)), f"f0={row['f0']}", f"f1={row['f1']}")
+    return ("bias", f"k{row['k']}", *(f"v{i}={row[f'v{i}']}" for i in range(VOTES)), f"f0={row['f0']}", f"f1={row['f1']}")
 
 
 def classifier(table: list, rounds: int = 300, rate: float = 0.5, shrink: float = 1e-3) -> dict[str, float]:
     """Weights of a logistic model of spans, trained on the label model's posteriors by gradient steps over the cells."""
     patterns: dict[tuple[int, ...], float] = {}
     for r in table:
-        key = tuple(r[f"v{i}"] for i in range(4))
+        key = tuple(r[f"v{i}"] for i in range(VOTES))
         patterns[key] = patterns.get(key, 0) + r["n"]
     post = label_model(patterns)
-    rows = [(terms(r), r["n"], post[tuple(r[f"v{i}"] for i in range(4))]) for r in sorted(table, key=lambda r: tuple(map(str, terms(r))))]
+    rows = [(terms(r), r["n"], post[tuple(r[f"v{i}"] for i in range(VOTES))]) for r in sorted(table, key=lambda r: tuple(map(str, terms(r))))]
     total = sum(n for _, n, _ in rows)
     w: dict[str, float] = {}
     for _ in range(rounds if total else 0):
@@ -215,7 +269,7 @@ def accepted(x: Column, text: Column, w: dict[str, float], sure: float) -> Colum
             c = F.when(value == o, w.get(f"{name}{o}", 0.0)).otherwise(c)
         return c
 
-    z = F.lit(w.get("bias", -30.0)) + weight("k", x["k"], range(4))
+    z = F.lit(w.get("bias", -30.0)) + weight("k", x["k"], range(len(ALL)))
     for i, v in enumerate(votes(x, text, F.lit(True))):
         z = z + weight(f"v{i}=", v, (-1, 0, 1))
     for i, (v, options) in enumerate(zip(features(x), ((0, 1, 2), (0, 1, 2, 3)))):
@@ -239,7 +293,7 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None, sur
 
 def rendered(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
-    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["k"] + 1), x["s"], x["e"])), ",")
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, ALL)), x["k"] + 1), x["s"], x["e"])), ",")
 
 
 def redact(docs: DataFrame, text: str = "text", sure: float = SURE) -> DataFrame:
@@ -251,7 +305,7 @@ def redact(docs: DataFrame, text: str = "text", sure: float = SURE) -> DataFrame
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, x: Column) -> Column:
-        mark = F.concat(F.lit("<"), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), x["k"] + 1)), F.lit(">"))
+        mark = F.concat(F.lit("<"), F.upper(F.element_at(F.array(*map(F.lit, ALL)), x["k"] + 1)), F.lit(">"))
         gone = x["s"] < a["at"]
         piece = F.when(gone, "").otherwise(F.concat(F.substr(t, a["at"] + 1, F.greatest(x["s"] - a["at"], F.lit(0))), mark))
         return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.concat(a["out"], piece).alias("out"))
@@ -262,10 +316,11 @@ def redact(docs: DataFrame, text: str = "text", sure: float = SURE) -> DataFrame
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, the number of base spans by kind, base_sha256 and all spans, for every row; a null text counts as empty."""
+    """id, the number of base spans by kind, base_sha256, all spans, their number and that of secrets among them, for every row; a
+    null text counts as empty."""
     found = find(docs.select(id_col, text), text, [id_col])
     def count(i: int) -> Column:
         return F.size(F.filter("base", lambda x: x["k"] == i)).cast("bigint").alias(f"n_{KINDS[i]}")
 
     counts = map(count, range(len(KINDS)))
-    return found.select(id_col, *counts, F.sha2(rendered(F.col("base")), 256).alias("base_sha256"), rendered(F.col("spans")).alias("spans"))
+    return found.select(id_col, *counts, F.sha2(rendered(F.col("base")), 256).alias("base_sha256"), rendered(F.col("spans")).alias("spans"), F.size("spans").cast("bigint").alias("n_spans"), F.size(F.filter("spans", lambda x: x["k"] == ALL.index("secret"))).cast("bigint").alias("n_secret"))
