@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, frugal
 
 #: Trigram buckets, texts of each language that the model is fitted on at most, and rounds of expectation-maximisation.
 BUCKETS, FIT_DOCS, ROUNDS = 4096, 2000, 15
@@ -126,16 +126,17 @@ class Mixture:
 
 
 def fitting_rows(docs: DataFrame, per_lang: int, id_col: str, lang: str) -> DataFrame:
-    """Ids of at most per_lang documents of each language: those whose hashed id is smallest. Only ids and languages move.
+    """id, lang of at most per_lang rows of each language: those whose hashed id is smallest. Only ids and languages move.
 
     A language's ids are first cut at the hash below which twice per_lang of its rows are expected, so that a ranking task
-    gets a few thousand ids, however many rows the language has. Rows without an id or a language are left out.
+    gets a few thousand ids, however many rows the language has. An id counts with all its rows, so an id of more rows than the
+    bound teaches nothing. Rows without an id or a language are left out.
     """
     some = docs.select(id_col, lang).where(F.col(id_col).isNotNull() & F.col(lang).isNotNull()).withColumn("_h", F.xxhash64(id_col))
     share = some.groupBy(lang).agg((F.lit(2.0 * per_lang) / F.count("*")).alias("_s"))  # one row a language, as the model has
-    low = some.join(F.broadcast(share), lang).where(F.col("_h") / 2.0**64 + 0.5 <= F.col("_s")).select(id_col, lang, "_h").distinct()
-    w = Window.partitionBy(lang).orderBy("_h", id_col)
-    return low.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_lang).select(id_col).distinct()
+    low = some.join(F.broadcast(share), lang).where(F.col("_h") / 2.0**64 + 0.5 <= F.col("_s")).groupBy(id_col, lang, "_h").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(lang).orderBy("_h", id_col).rowsBetween(Window.unboundedPreceding, 0)
+    return low.withColumn("_r", F.sum("_n").over(w)).where(F.col("_r") <= per_lang).select(id_col, lang)
 
 
 def fit(labelled: DataFrame, per_lang: int = FIT_DOCS, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Mixture:
@@ -145,7 +146,7 @@ def fit(labelled: DataFrame, per_lang: int = FIT_DOCS, id_col: str = "doc_id", t
     languages teach nothing; an empty table gives a model without languages.
     """
     ids = fitting_rows(labelled, per_lang, id_col, lang)
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(id_col, text, lang).join(F.broadcast(ids), id_col, "left_semi")
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(id_col, text, lang).join(F.broadcast(ids), [id_col, lang], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -159,7 +160,7 @@ def fit(labelled: DataFrame, per_lang: int = FIT_DOCS, id_col: str = "doc_id", t
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "counts"])
 
-    parts = rows.mapInArrow(count, "lang string, counts array<bigint>")
+    parts = rows.mapInArrow(frugal(count), "lang string, counts array<bigint>")
     cells = parts.select("lang", F.posexplode("counts").alias("bucket", "n")).where("n > 0").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = cells.toPandas()  # at most BUCKETS rows for each language
     langs = sorted(got["lang"].unique())
@@ -191,4 +192,4 @@ def predict(docs: DataFrame, model: Mixture, text: str = "text") -> DataFrame:
                     score += b.tolist()
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)

@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, text_bytes
+from .common import chunks, frugal, text_bytes
 from .shingles import shingle_hashes, word_hashes
 
 #: Labelled documents that the model is fitted on at most, those of smallest hashed id (the documented bound).
@@ -135,11 +135,14 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", bound: int = FIT_DOCS) -> Trees:
     """Trees from at most `bound` labelled whole texts; the driver gets their statistics only (a few MB).
 
-    Rows without an id or label teach nothing; of several labels of an id the largest counts. Without both labels the score
+    Rows without an id or label teach nothing; of several labels of an id the largest counts, and an id counts with all its rows. Without both labels the score
     is the rate of the one there is (a half without any).
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
-    some = known.join(docs.select(id_col), id_col, "left_semi").orderBy(F.xxhash64(id_col), id_col).limit(bound)
+    times = docs.groupBy(id_col).agg(F.count("*").alias("_n"))
+    some = known.join(times, id_col).withColumn("_h", F.xxhash64(id_col)).orderBy("_h", id_col).limit(bound)
+    total = F.sum("_n").over(Window.orderBy("_h", id_col).rowsBetween(Window.unboundedPreceding, 0))  # over at most `bound` rows
+    some = some.withColumn("_r", total).where(F.col("_r") <= bound).select(id_col, "_y")
     rows = docs.select(id_col, text).join(F.broadcast(some), id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
                 x = statistics(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["id", "y", "x"])
 
-    got = rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, y int, x array<double>").orderBy("id").toPandas()
+    got = rows.mapInArrow(frugal(run), f"id {docs.schema[id_col].dataType.simpleString()}, y int, x array<double>").orderBy("id").toPandas()
     return grow(np.array(got["x"].tolist(), np.float64).reshape(len(got), len(FEATURES)), got["y"].to_numpy(np.float64))
 
 
@@ -161,4 +164,4 @@ def score(docs: DataFrame, model: Trees, id_col: str = "doc_id", text: str = "te
             for part in chunks(batch, text):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(shared.value.score(statistics(part.column(1))))], names=[id_col, "score"])
 
-    return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double")
+    return docs.select(id_col, text).mapInArrow(frugal(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double")
