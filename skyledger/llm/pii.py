@@ -32,23 +32,28 @@ NEEDED = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\
 #: Wider candidates: spelled-out or bracketed e-mail, IPv6, long digit groups with dots or slashes, national phone numbers; of
 #: secrets the forms of well-known issuers, private key blocks, values set to a telling name, and long mixed strings.
 _HEX4, _NAME = r"[0-9A-Fa-f]{1,4}", r"(?i:passwo?r?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|client[_-]?key)"
+_SET = rf"(?<![A-Za-z0-9]){_NAME}[\"']?\x20{{0,2}}[:=]\x20{{0,2}}[\"']?"
 WIDE = {
     "email": r"[A-Za-z0-9._%+-]++\x20?(?i:\[at\]|\(at\)|\{at\})\x20?[A-Za-z0-9-]++(?:(?:\x20?(?i:\[dot\]|\(dot\)|\{dot\})\x20?|\.)[A-Za-z0-9-]++)++",
     "ip": rf"(?<![0-9A-Za-z:])(?:{_HEX4}(?::{_HEX4}){{7}}|(?:{_HEX4}(?::{_HEX4}){{0,5}})?::{_HEX4}(?::{_HEX4}){{0,5}}|{_HEX4}(?::{_HEX4}){{1,6}}::)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
     "secret": r"-----BEGIN[A-Z\x20]{0,30}PRIVATE\x20KEY-----[A-Za-z0-9+/=\s]*+(?:-----END[A-Z\x20]{0,30}PRIVATE\x20KEY-----)?"
-    rf"|(?<={_NAME}[\"']{{0,1}}\x20{{0,2}}[:=]\x20{{0,2}}[\"']{{0,1}})[^\s\"',;<>]{{6,}}+"
+    rf"|(?=[PpSsTtAaCc]){_SET}[^\s\"',;<>]{{6,}}+"
     r"|(?<![A-Za-z0-9+/=_.-])(?:eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++)?|[A-Za-z0-9+/_-]{20,}+={0,2})(?![A-Za-z0-9+/=_-])",
 }
+#: Tests that a text without a candidate fails, each of one pass over the text.
 WIDE_NEEDED = {
-    "email": r"(?i:\[at\]|\(at\)|\{at\})",
-    "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:|::[0-9A-Fa-f]|[0-9A-Fa-f]::",
+    "email": r"[\[({](?i:at)[\])}]",
+    "ip": r":[0-9A-Fa-f]{0,4}:",
     "card": r"[0-9]{4}[./_][0-9]{4}",
     "phone": r"[0-9]{3}[\x20.-][0-9]{4}",
-    "secret": rf"[A-Za-z0-9+/_-]{{20}}|PRIVATE\x20KEY|{_NAME}[\"']{{0,1}}\x20{{0,2}}[:=]",
+    "secret": r"\A(?:[^A-Za-z0-9+/_-]++|[A-Za-z0-9+/_-]{1,19}+(?![A-Za-z0-9+/_-]))*+[A-Za-z0-9+/_-]",  # a run of 20 or more
 }
 
+#: Twenty characters without white space.
+LONG_RUN = r"\A(?:\s++|\S{1,19}+(?!\S))*+\S"
+
 #: Top-level domains of general use and of countries with many speakers of the corpus's languages.
 DOMAINS = (
     "com org net edu gov mil int info biz name pro io ai app dev co me tv cc online site shop tech cloud blog "
@@ -80,7 +85,14 @@ CELLS = len(ALL) * 2 * 3**VOTES * 12
 SURE = 0.9
 
 
-def matches(text: Column, pattern: str, needed: str) -> Column:
+def may_hold(text: Column, kind: str) -> Column:
+    """Whether a text can hold a wider candidate. Long runs without a space, and the marks of a set name, are looked for first, as
+    few texts have them and the full tests cost several times as much."""
+    test = text.rlike(WIDE_NEEDED[kind])
+    return (text.rlike(LONG_RUN) & test) | (text.rlike("[:=]") & text.rlike(_SET)) if kind == "secret" else test
+
+
+def matches(text: Column, pattern: str, needed: Column) -> Column:
     """array<struct<s, e, m>>: leftmost non-overlapping matches with their code point offsets, end exclusive.
 
     The pieces between the matches give the offsets; a text that fails the `needed` test is not searched.
@@ -95,7 +107,7 @@ def matches(text: Column, pattern: str, needed: str) -> Column:
         return F.struct(e.alias("at"), F.concat(a["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
 
     joined = F.filter(F.arrays_zip(between.alias("g"), found.alias("m")), lambda x: x["m"].isNotNull())
-    return F.when(text.rlike(needed), F.aggregate(joined, start, step, lambda a: a["out"])).otherwise(F.array().cast(kind))
+    return F.when(needed, F.aggregate(joined, start, step, lambda a: a["out"])).otherwise(F.array().cast(kind))
 
 
 def digits(m: Column) -> Column:
@@ -128,7 +140,7 @@ def with_base(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     t = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_t"))
     patterns = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE)))
     def spans(k: str) -> Column:
-        return F.filter(matches(F.col("_t"), patterns[k], NEEDED[k]), lambda x: valid(k, x["m"])).alias(f"_{k}")
+        return F.filter(matches(F.col("_t"), patterns[k], F.col("_t").rlike(NEEDED[k])), lambda x: valid(k, x["m"])).alias(f"_{k}")
 
     return t.select(*keep, "_t", *map(spans, KINDS))
 
@@ -140,7 +152,7 @@ def with_candidates(base: DataFrame, keep: list[str]) -> DataFrame:
         return F.transform(c, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"), x["m"].alias("m")))
 
     all_base = F.concat(*(tagged(F.col(f"_{k}"), i) for i, k in enumerate(KINDS)))
-    raw = F.concat(*(tagged(matches(F.col("_t"), WIDE[k], WIDE_NEEDED[k]), i) for i, k in enumerate(ALL)))
+    raw = F.concat(*(tagged(matches(F.col("_t"), WIDE[k], may_hold(F.col("_t"), k)), i) for i, k in enumerate(ALL)))
     one = base.select(*keep, "_t", all_base.alias("_base"), raw.alias("_raw"))
     touches = lambda x, y: (x["s"] < y["e"]) & (y["s"] < x["e"])
     two = one.withColumn("_free", F.filter("_raw", lambda x: ~F.exists(F.col("_base"), lambda y: touches(x, y))))
@@ -168,8 +180,14 @@ def well_formed(kind: str, m: Column, wide: Column) -> Column:
     if kind == "phone":
         even = F.length(F.regexp_replace(m, r"[^(]", "")) == F.length(F.regexp_replace(m, r"[^)]", ""))
         return F.when(~even, -1).when(m.rlike(r"^\+[1-9]|^\([2-9]|^[2-9].*([.-])[0-9]{3}\1"), 1).otherwise(0)
-    mixed = m.rlike(r"[0-9]") & m.rlike(r"[A-Za-z]")
-    return F.when(m.rlike(r"^-----BEGIN"), 1).when(~mixed | m.rlike(r"/.*/|^[0-9]+-[0-9]+-"), -1).when(F.length(m) >= 16, 1).otherwise(0)
+    v = secret_value(m)
+    mixed = v.rlike(r"[0-9]") & v.rlike(r"[A-Za-z]")
+    return F.when(v.rlike(r"^-----BEGIN"), 1).when(~mixed | v.rlike(r"/.*/|^[0-9]+-[0-9]+-"), -1).when(F.length(v) >= 16, 1).otherwise(0)
+
+
+def secret_value(m: Column) -> Column:
+    """What a name is set to; a secret without a name is its own value."""
+    return F.regexp_replace(m, f"^{_SET}", "")
 
 
 def votes(x: Column, text: Column, wide: Column) -> list[Column]:
@@ -181,9 +199,10 @@ def votes(x: Column, text: Column, wide: Column) -> list[Column]:
     m, k = x["m"], x["k"]
     before = F.substr(text, F.greatest(x["s"] - CONTEXT + 1, F.lit(1)), F.least(x["s"], F.lit(CONTEXT)))
     around = F.substr(text, F.greatest(x["s"] - NEAR + 1, F.lit(1)), F.least(x["s"], F.lit(NEAR)) + (x["e"] - x["s"]) + NEAR)
-    d = F.when(k == ALL.index("secret"), m).otherwise(digits(m))
-    gazetteer = of_kind(k, lambda n: F.when(m.rlike(GAZETTEER[n]), 1).otherwise(F.lit(0) if n == "secret" else F.lit(-1)))
-    context = F.when(before.rlike(AGAINST), -1).when(of_kind(k, lambda n: before.rlike(CUES[n])), 1).otherwise(0)
+    d = F.when(k == ALL.index("secret"), secret_value(m)).otherwise(digits(m))
+    known = lambda n: F.when(secret_value(m).rlike(GAZETTEER[n]), 1).otherwise(0) if n == "secret" else F.when(m.rlike(GAZETTEER[n]), 1).otherwise(-1)
+    gazetteer = of_kind(k, known)
+    context = F.when(before.rlike(AGAINST), -1).when(of_kind(k, lambda n: before.rlike(CUES[n]) | (m.rlike(f"^{_SET}") if n == "secret" else F.lit(False))), 1).otherwise(0)
     kinds = F.size(F.array_distinct(F.split(F.left(d, F.lit(64)), "")))
     times = (F.length(around) - F.length(F.replace(around, m, F.lit("")))) / F.length(m)
     return [
@@ -204,9 +223,9 @@ def features(x: Column) -> list[Column]:
 
 def cells(spans: DataFrame) -> DataFrame:
     """Counts of every pattern of kind, origin, votes and features over all candidate spans of the corpus."""
-    some = spans.where((F.size("_base") > 0) | (F.size("_wide") > 0))
     both = F.concat(F.transform("_base", lambda x: F.struct(x.alias("x"), F.lit(False).alias("wide"))), F.transform("_wide", lambda x: F.struct(x.alias("x"), F.lit(True).alias("wide"))))
-    rows = some.select("_t", F.explode(both).alias("z"))
+    # an outer explode: a filter on the array would be moved below it and search every text twice
+    rows = spans.select("_t", F.explode_outer(both).alias("z")).where("z is not null")
     x, wide = F.col("z.x"), F.col("z.wide")
     named = [c.alias(f"v{i}") for i, c in enumerate(votes(x, F.col("_t"), wide))] + [c.alias(f"f{i}") for i, c in enumerate(features(x))]
     keys = ["k", "wide", *(f"v{i}" for i in range(VOTES)), "f0", "f1"]
