@@ -146,7 +146,7 @@ def fit(labelled: DataFrame, per_lang: int = FIT_DOCS, id_col: str = "doc_id", t
     languages teach nothing; an empty table gives a model without languages.
     """
     ids = fitting_rows(labelled, per_lang, id_col, lang)
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(id_col, text, lang).join(F.broadcast(ids), [id_col, lang], "left_semi")
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).join(F.broadcast(ids), [id_col, lang], "left_semi").select(id_col, text, lang)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
