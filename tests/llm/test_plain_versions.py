@@ -296,3 +296,25 @@ def test_weights_and_sets_both_link(spark):
     got = dict(dedup.classes(spark.createDataFrame(rows, SCHEMA)).collect())
     # 1 and 2 are alike by counts, 3 and 4 as sets
     assert got[1] == got[2] == 1 and got[3] == got[4] and got[5] == 5 and got[3] != 5
+
+
+def test_held_out_accuracy(spark):
+    from skyledger.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    x = queries.op7_language_id(spark, sf).join(docs.select("doc_id", "lang", "text"), "doc_id").where("held_out and lang is not null and length(text) > 60").collect()
+    assert len(x) > 30 and sum(r.lang == r.lang_pred for r in x) >= 0.95 * len(x)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    y = queries.op2_quality_model(spark, sf).join(labels, "doc_id").where("held_out").collect()
+    assert sum((r.score >= 0.5) == (r.quality == 1) for r in y) >= 0.85 * len(y)
+
+
+def test_fitting_rows_stay_within_their_bound(spark):
+    rows = [(k % 40, f"text {k} ab cd", ("en", "de")[k % 2]) for k in range(400)] + [(7, f"again {k}", "de") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = langid.fitting_rows(docs, 100, "doc_id", "lang")
+    got = {r["lang"]: r["count"] for r in docs.join(ids, ["doc_id", "lang"], "left_semi").groupBy("lang").count().collect()}
+    assert got and all(0 < n <= 100 for n in got.values())
+    m = langid.fit(docs, 100)
+    assert sorted(m.langs) == ["de", "en"] and langid.predict(docs.select("doc_id", "text"), m).count() == 700
