@@ -15,9 +15,9 @@ def first_number(c: Column) -> Column:
 
 
 def strict_number(c: Column) -> Column:
-    """The whole text as a number, or null."""
+    """The whole text as a number, or null; nan and infinity count."""
     v = F.trim(text(c))
-    return F.when(v.rlike(r"^[-+]?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?$"), v.try_cast("double"))
+    return F.when(v.rlike(r"(?i)^[-+]?(?:(\d+(\.\d*)?|\.\d+)(e[-+]?\d+)?|inf|infinity|nan)$"), F.regexp_replace(v, "(?i)^[-+]nan$", "nan").try_cast("double"))
 
 
 def unit_like(c: Column) -> Column:
@@ -25,10 +25,11 @@ def unit_like(c: Column) -> Column:
 
 
 def column_type(values: Column) -> Column:
-    """number, mixed or string, from the cells with text: mixed if at least half of them (one at least) are numbers."""
-    some = F.filter(F.transform(values, lambda v: F.trim(text(v))), lambda v: v != "")
+    """number, mixed or string, from the cells that are neither empty nor `...`: mixed if at least half of them (one at least)
+    are numbers. Empty if there are none."""
+    some = F.filter(F.transform(values, text), lambda v: ~v.isin("", "..."))
     n = F.size(F.filter(some, lambda v: F.regexp_replace(F.regexp_replace(v, r"(\+/-|±).*$", ""), ",", "").rlike(r"^\s*[-+]?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?\s*$")))
-    return F.when(F.size(some) == 0, "string").when(n == F.size(some), "number").when(n >= F.greatest(F.lit(1), F.floor(F.size(some) / 2)), "mixed").otherwise("string")
+    return F.when(F.size(some) == 0, "").when(n == F.size(some), "number").when(n >= F.greatest(F.lit(1), F.floor(F.size(some) / 2)), "mixed").otherwise("string")
 
 
 def period_date(c: Column, end: bool) -> Column:

@@ -19,9 +19,9 @@ def parse_angle(value: Column, unit: Column, form: Column, is_ra: bool, mode: st
     v, u, f = F.trim(text(value)), F.lower(text(unit)), F.lower(text(form))
     colon, degrees = v.contains(":"), u.isin("deg", "degree", "degrees")
     hours = {
-        "catalogue": u.contains("hour") | (f == "hms") | (colon & ~degrees),
+        "catalogue": u.contains("hour") | f.endswith("hms") | (colon & ~degrees),
         "provider": colon & ~degrees,
-        "referee": u.contains("hour") | (f == "hms"),
+        "referee": u.contains("hour") | f.endswith("hms"),
         "annotation": v.contains("h") | (colon & ~v.contains("d")),
     }[mode]
     parts = F.filter(F.split(F.regexp_replace(v, "^[-+]", ""), r"[:hdms°'\"\s]+"), lambda p: p != "")

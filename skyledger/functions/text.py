@@ -39,8 +39,13 @@ def slug(c: Column, others: str = "+-", joiner: str = "_", default: str = "candi
     return F.coalesce(F.nullif(F.regexp_replace(made, f"^[{joiner}]+|[{joiner}]+$", ""), F.lit("")), F.lit(default))
 
 
+def folded(c: Column) -> Column:
+    """Lower case for comparison: sharp s as ss, final sigma as sigma."""
+    return F.replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
 def alias(c: Column) -> Column:
-    return F.lower(collapse(c))
+    return folded(collapse(c))
 
 
 def weak_identifier(c: Column) -> Column:

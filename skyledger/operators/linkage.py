@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,35 +25,43 @@ def prepared(contributions: DataFrame) -> DataFrame:
     )
 
 
-def candidate_pairs(c: DataFrame) -> DataFrame:
-    """Distinct ordered pairs that share a key or lie within the radius: one equi-join for each kind of evidence."""
-    found = None
+def candidate_pairs(c: DataFrame, near: DataFrame) -> DataFrame:
+    """Distinct ordered pairs (l, r) that share a key or are near: one equi-join for each kind of evidence."""
+    found = near.where("l_ord < r_ord").select(F.col("l_record_id").alias("l"), F.col("r_record_id").alias("r"))
     for key in ("gaia", "provider", "object", "alias"):
         some = c.where(F.col(key) != "").select(key, "record_id", "ord")
         l, r = some.toDF(key, "l", "lo"), some.toDF(key, "r", "ro")
-        pairs = l.join(r, key).where("lo < ro").select("l", "r")
-        found = pairs if found is None else found.union(pairs)
-    near = sky.within(c.select("record_id", "ord", "ra", "dec"), c.select("record_id", "ord", "ra", "dec"), RADIUS)
-    return found.union(near.where("l_ord < r_ord").select("l_record_id", "r_record_id")).distinct()
+        found = found.union(l.join(r, key).where("lo < ro").select("l", "r"))
+    return found.distinct()
 
 
-def neighbour_counts(c: DataFrame) -> DataFrame:
+def near_pairs(c: DataFrame) -> DataFrame:
+    """All pairs nearer than the radius, both ways and each record with itself, as a table in the shared folder."""
+    pos = c.select("record_id", "ord", "ra", "dec")
+    return stored(sky.within(pos, pos, RADIUS).select("l_record_id", "l_ord", "r_record_id", "r_ord"))
+
+
+def neighbour_counts(c: DataFrame, near: DataFrame | None = None) -> DataFrame:
     """record_id and the number of other records nearer than the radius, 0 included."""
-    pos = c.select("record_id", "ra", "dec")
-    n = sky.within(pos, pos, RADIUS).where("l_record_id <> r_record_id").groupBy(F.col("l_record_id").alias("record_id")).agg(F.count("*").alias("n"))
+    if near is None:
+        pos = c.select("record_id", "ra", "dec")
+        near = sky.within(pos, pos, RADIUS)
+    n = near.where("l_record_id <> r_record_id").groupBy(F.col("l_record_id").alias("record_id")).agg(F.count("*").alias("n"))
     return c.select("record_id").join(n, "record_id", "left").select("record_id", F.coalesce("n", F.lit(0)).alias("neighbours"))
 
 
 def evidence(c: DataFrame, mode: str = "off") -> DataFrame:
     """left, right, kind and decision (merge, review, blocked) of each pair; tiers in order, the first that applies ends the pair.
 
-    Two literature ids settle a pair between them. Blocked aliases go on to the coordinates, which cannot merge them.
+    Two literature ids settle a pair between them. Blocked aliases go on to the coordinates, which cannot merge them. The sky
+    is joined once; neighbours are counted in the one mode that asks for them.
     """
     if mode not in ("auto", "review", "off"):
         raise ValueError(f"no such mode: {mode}")
-    counted = c.join(neighbour_counts(c), "record_id")
+    near_by = near_pairs(c)
+    counted = c.join(neighbour_counts(c, near_by), "record_id") if mode == "auto" else c
     l, r = counted.select(*(F.col(x).alias(f"l_{x}") for x in counted.columns)), counted.select(*(F.col(x).alias(f"r_{x}") for x in counted.columns))
-    p = candidate_pairs(c).join(l, F.col("l") == F.col("l_record_id")).join(r, F.col("r") == F.col("r_record_id"))
+    p = candidate_pairs(c, near_by).join(l, F.col("l") == F.col("l_record_id")).join(r, F.col("r") == F.col("r_record_id"))
     sep = sky.separation(F.col("l_ra"), F.col("l_dec"), F.col("r_ra"), F.col("r_dec"))
     near = F.coalesce(sep < RADIUS, F.lit(False))
     far = F.coalesce(sep >= RADIUS, F.lit(False))
@@ -70,36 +80,49 @@ def evidence(c: DataFrame, mode: str = "off") -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df as a table in the session's checkpoint folder; a local session without one gets a temporary folder."""
+    """df as a table in the session's checkpoint folder, deleted with the session; only a local master may go without one."""
     spark = df.sparkSession
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "/tmp/checkpoints"
-    path = f"{base.rstrip('/')}/linkage-{uuid.uuid4().hex}"
+        base = f"{tempfile.gettempdir()}/checkpoints"
+    path = f"{base.rstrip('/')}/catalogue-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a table that stored() made and nothing will read again."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, component (smallest node): labels pass along edges and jump to their labels' labels until none changes."""
     both = stored(edges.toDF("a", "b").union(edges.select(*reversed(edges.columns)).toDF("a", "b")).distinct())
-    labels = stored(nodes.toDF("node").distinct().withColumn("label", F.col("node")))
+    first = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))  # labels start at the smallest neighbour
+    labels = stored(nodes.toDF("node").distinct().join(first, "node", "left").select("node", F.least("node", F.coalesce("b", "node")).alias("label")))
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         low = labels.join(near, labels.node == near.a, "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("low"))
         tops = labels.select(F.col("node").alias("low"), F.col("label").alias("top"))
         new = stored(low.join(tops, "low").select("node", F.col("label").alias("was"), F.least("low", "top").alias("label")))
+        dropped(labels)
         labels = new.select("node", "label")
         if not new.where("label <> was").limit(1).count():
+            dropped(both)
             return labels.withColumnRenamed("label", "component")
 
 
 def linked(contributions: DataFrame, mode: str = "off") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Prepared contributions, their evidence, and record_id, component."""
     c = prepared(contributions)
-    ev = evidence(c, mode)
+    ev = stored(evidence(c, mode))
     comp = components(c.select("record_id"), ev.where("decision = 'merge'").select("left_id", "right_id")).withColumnRenamed("node", "record_id")
     return c, ev, comp
 
@@ -139,7 +162,6 @@ def object_ids(c: DataFrame, comp: DataFrame) -> DataFrame:
 def object_index(contributions: DataFrame, mode: str = "off") -> DataFrame:
     """object_id, n_records, strategy, first_month, n_blocked of every object."""
     c, ev, comp = linked(contributions, mode)
-    ev, comp = stored(ev), stored(comp)
     blocked = ev.where("decision = 'blocked'").select(F.explode(F.array("left_id", "right_id")).alias("record_id")).join(comp, "record_id").groupBy("component").agg(F.count("*").alias("n_blocked"))
     months = c.join(comp, "record_id").groupBy("component").agg(F.min("month").alias("first_month"))
     out = object_ids(c, comp).join(strategies(ev, comp), "component").join(months, "component").join(blocked, "component", "left")

@@ -8,6 +8,8 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .linkage import stored
+
 
 def year_and_total(df: DataFrame, year: str, **metrics: Column) -> DataFrame:
     """One row a year and one for all years (year null), by one rollup."""
@@ -33,18 +35,26 @@ def percentiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def top_k_flag(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """All rows with `selected`: whether they are among the first k. Only the k leaders' order is global."""
-    lead = df.orderBy(*order).limit(k).withColumn("selected", F.lit(True))
-    keys = [c for c in df.columns]
-    return df.join(F.broadcast(lead), keys, "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    """All rows with `selected`: whether they are among the first k. Only the k leaders' order is global.
+
+    Rows equal in all columns are told apart by number only, so of more such rows than places just the places are selected.
+    """
+    lead = df.orderBy(*order).limit(k).groupBy(*df.columns).agg(F.count("*").alias("_m")).select(*(F.col(c).alias(f"_k_{c}") for c in df.columns), "_m")
+    same = F.lit(True)
+    for c in df.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    lead = F.broadcast(lead)  # at most k rows
+    among = df.join(lead, same).withColumn("_r", F.row_number().over(Window.partitionBy(*df.columns).orderBy(F.lit(0))))
+    rest = df.join(lead, same, "left_anti").withColumn("selected", F.lit(False))
+    return among.select(*df.columns, (F.col("_r") <= F.col("_m")).alias("selected")).unionByName(rest)
 
 
 def numbered_globally(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
-    """Row numbers from 0 in a total order, without one task for all rows: ranges are sorted and numbered apart, then shifted
+    """Row numbers from 0 in a total order, without one task for all rows: ranges are written once, numbered apart, then shifted
     by the rows of the ranges before them (a table of one row a range, which is broadcast)."""
-    parts = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()).sortWithinPartitions(*order)
+    parts = stored(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     local = parts.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
-    sizes = local.groupBy("_p").agg(F.count("*").alias("_n"))
+    sizes = parts.groupBy("_p").agg(F.count("*").alias("_n"))
     shift = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s"))
     return local.join(F.broadcast(shift), "_p").withColumn(name, F.col("_r") + F.col("_s")).drop("_p", "_r", "_s")
 
@@ -65,10 +75,11 @@ def allocation(sizes: dict[str, int], total: int) -> dict[str, int]:
 def allocated(df: DataFrame, stratum: str, total: int) -> DataFrame:
     """stratum, population, sampled and weight: largest-remainder shares of total, ties by stratum, with the inverse chance of
     a draw (null where nothing is drawn). Only the counts, one row a stratum, meet in one task. A total above the population
-    draws all."""
+    is an error when the result is computed."""
     sizes = df.groupBy(stratum).agg(F.count("*").alias("population"))
     all_of = F.sum("population").over(Window.partitionBy())
     share = F.least(F.lit(total), all_of).cast("double") * F.col("population") / all_of
+    share = F.when(F.lit(total) > all_of, F.raise_error(F.lit("more is asked for than there is"))).otherwise(share)
     x = sizes.withColumn("_share", share).withColumn("_floor", F.floor("_share"))
     left = F.least(F.lit(total), all_of) - F.sum("_floor").over(Window.partitionBy())
     x = x.withColumn("_more", F.row_number().over(Window.orderBy((F.col("_share") - F.col("_floor")).desc(), stratum)) <= left)
@@ -76,19 +87,15 @@ def allocated(df: DataFrame, stratum: str, total: int) -> DataFrame:
     return x.select(stratum, "population", "sampled", F.when(F.col("sampled") > 0, F.round(F.col("population") / F.col("sampled"), 6)).alias("weight"))
 
 
-def systematic_positions(n: int, k: int, seed: str) -> list[int]:
-    """k positions of n at a fixed step from a start that the seed text draws."""
-    if k <= 0 or n <= 0:
-        return []
-    if k >= n:
-        return list(range(n))
-    step = n / k
-    start = random.Random(seed).uniform(0, step)
-    return [min(int(start + i * step), n - 1) for i in range(k)]
-
-
 def systematic_sample(df: DataFrame, order: list[str], k: int, seed: str) -> DataFrame:
-    """k rows at even steps of the order, with weight = rows / k."""
+    """k rows at even steps of the order, from a start that the seed text draws, with weight = rows / k; all rows if there are
+    no more than k."""
+    numbers = numbered_globally(df, order, "position")
     n = df.count()
-    wanted = systematic_positions(n, k, seed)
-    return numbered_globally(df, order, "position").where(F.col("position").isin(wanted)).withColumn("weight", F.lit(round(n / len(wanted), 6) if wanted else 0.0))
+    some = min(k, n)
+    if some <= 0:
+        return numbers.where("false").withColumn("weight", F.lit(0.0))
+    step = n / some
+    start = random.Random(seed).uniform(0, step) if n > k else 0.0
+    wanted = df.sparkSession.range(some).select(F.least(F.floor(F.lit(start) + F.col("id") * F.lit(step)), F.lit(n - 1)).alias("position"))
+    return numbers.join(wanted, "position", "left_semi").withColumn("weight", F.lit(round(n / some, 6)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: For each quantity category, the step types that may produce it and those its lineage must contain.
@@ -114,11 +114,17 @@ def duplicates(df: DataFrame, document: str, value: str) -> DataFrame:
 
 
 def grouped(found: DataFrame, index: str) -> DataFrame:
-    """Messages grouped by rule with their index lists as ranges (`1-3,5`)."""
-    w = Window.partitionBy("rule").orderBy(index)
-    runs = found.select("rule", index).distinct().withColumn("g", F.col(index) - F.row_number().over(w)).groupBy("rule", "g").agg(F.min(index).alias("a"), F.max(index).alias("b"))
-    label = F.when(F.col("a") == F.col("b"), F.col("a").cast("string")).otherwise(F.concat_ws("-", "a", "b"))
-    lists = runs.groupBy("rule").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("a", label.alias("t")))), lambda x: x["t"]), ",").alias("indexes"))
+    """Messages grouped by rule with their index lists as ranges (`1-3,5`).
+
+    A run starts at an index whose predecessor is absent and ends where the successor is: two joins on (rule, index), so only the
+    runs of a rule meet, not its rows.
+    """
+    each = found.select("rule", F.col(index).alias("i")).distinct()
+    first = each.join(each.select("rule", (F.col("i") + 1).alias("i")), ["rule", "i"], "left_anti")
+    last = each.join(each.select("rule", (F.col("i") - 1).alias("i")), ["rule", "i"], "left_anti")
+    ends = lambda x, name: x.groupBy("rule").agg(F.array_sort(F.collect_list("i")).alias(name))
+    label = lambda a, b: F.when(a == b, a.cast("string")).otherwise(F.concat_ws("-", a.cast("string"), b.cast("string")))
+    lists = ends(first, "a").join(ends(last, "b"), "rule").select("rule", F.array_join(F.zip_with("a", "b", label), ",").alias("indexes"))
     return found.groupBy("rule").agg(F.count("*").alias("n")).join(lists, "rule")
 
 

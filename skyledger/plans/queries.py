@@ -342,7 +342,7 @@ def _edges(spark, d):
     return x.where("turn > 0").selectExpr("conv_id AS doc", "turn AS step", "turn - 1 AS depends_on").union(x.where("turn > 2").selectExpr("conv_id", "turn", "turn DIV 2"))
 
 
-_UP = f"{_EDGES}, up AS (SELECT doc, step, depends_on AS ancestor, 1 AS n FROM ed UNION SELECT u.doc, u.step, e.depends_on, u.n + 1 FROM up u JOIN ed e ON u.doc = e.doc AND u.ancestor = e.step WHERE u.n < 100), cl AS (SELECT doc, step, ancestor, min(n) AS distance FROM up WHERE step <> ancestor GROUP BY ALL)"
+_UP = f"{_EDGES}, up AS (SELECT doc, step, depends_on AS ancestor, 1 AS n FROM ed UNION SELECT u.doc, u.step, e.depends_on, u.n + 1 FROM up u JOIN ed e ON u.doc = e.doc AND u.ancestor = e.step), cl AS (SELECT doc, step, ancestor, min(n) AS distance FROM up WHERE step <> ancestor GROUP BY ALL)"
 
 
 @query(f"WITH RECURSIVE {_UP} SELECT doc, step, ancestor, distance FROM cl")
@@ -350,10 +350,9 @@ def lineage_closure(spark, d):
     return lineage.closure(_edges(spark, d))
 
 
-@query(f"WITH RECURSIVE {_UP} SELECT doc, step, max(distance) AS depth FROM cl GROUP BY ALL")
+@query(f"WITH RECURSIVE {_UP} SELECT doc, step, max(n) AS depth FROM up GROUP BY ALL")
 def lineage_depth(spark, d):
-    e = _edges(spark, d)
-    return lineage.depths(e, lineage.closure(e))
+    return lineage.depths(_edges(spark, d))
 
 
 def _rule_rows(spark, d):

@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import random
 
 import duckdb
 import numpy as np
@@ -113,7 +114,23 @@ def test_lineage_of_a_long_chain(spark):
     reach = lineage.closure(e)
     got = [tuple(r) for r in reach.collect()]
     assert len(got) == len(want) and set(got) == want and max(n for *_, n in got) > 100
-    assert {(r.doc, r.step): r.depth for r in lineage.depths(e, reach).collect()}[1, 300] == max(n for d, s, _, n in want if (d, s) == (1, 300))
+
+
+def test_depth_is_the_longest_path(spark):
+    rng = random.Random(3)
+    edges = [(1, 2, 1), (1, 3, 2), (1, 3, 1), (1, 4, 3), (1, 4, 1), (1, 4, 4), (1, 2, 9), (2, 700, 699)]
+    edges += [(3, s, rng.randrange(s)) for s in range(1, 900) for _ in range(rng.randint(0, 3))]
+    down = {}
+    for doc, s, d in edges:
+        if d < s:
+            down.setdefault((doc, s), set()).add(d)
+    deep = {}
+    for doc, s in sorted(down):
+        deep[doc, s] = 1 + max(deep.get((doc, d), 0) for d in down[doc, s])
+    x = spark.createDataFrame(edges, "doc long, step long, depends_on long")
+    for block in (4096, 64):
+        assert {(r.doc, r.step): r.depth for r in lineage.depths(x, block).collect()} == deep
+    assert deep[1, 3] == 2 and deep[1, 4] == 3 and lineage.depths(x.where("false")).count() == 0
 
 
 def test_tables():
@@ -126,8 +143,18 @@ def test_tables():
 def test_sampling():
     assert rollups.allocation({"high": 26, "low": 23}, 28) == {"high": 15, "low": 13}
     assert rollups.allocation({"a": 1, "b": 2}, 9) == {"a": 1, "b": 2}
-    p = rollups.systematic_positions(100, 7, "s")
-    assert p == rollups.systematic_positions(100, 7, "s") and len(set(p)) == 7 and max(p) < 100
+
+
+def test_systematic_sample_and_leaders(spark):
+    x = spark.range(100).selectExpr("id", "id % 3 AS g")
+    step = 100 / 7
+    start = random.Random("s").uniform(0, step)
+    got = sorted(r.position for r in rollups.systematic_sample(x, ["id"], 7, "s").collect())
+    assert got == [min(int(start + i * step), 99) for i in range(7)]
+    assert rollups.systematic_sample(x, ["id"], 200, "s").count() == 100 and rollups.systematic_sample(x, ["id"], 0, "s").count() == 0
+    ties = spark.createDataFrame([(5, None), (5, None), (5, None), (4, "x")], "v int, w string")
+    marked = [(r.v, r.selected) for r in rollups.top_k_flag(ties, [F.col("v").desc()], 2).collect()]
+    assert sorted(marked) == [(4, False), (5, False), (5, True), (5, True)]
 
 
 def test_view(spark):
