@@ -20,8 +20,16 @@ def strict_number(c: Column) -> Column:
     return F.when(v.rlike(r"(?i)^[-+]?(?:(\d+(\.\d*)?|\.\d+)(e[-+]?\d+)?|inf|infinity|nan)$"), F.regexp_replace(v, "(?i)^[-+]nan$", "nan").try_cast("double"))
 
 
+#: Parts of a header cell that make it look like a unit.
+UNIT_PARTS = ("[", "]", "km/s", "mag", "mas", "yr", "dex", "nm", "k ")
+
+
 def unit_like(c: Column) -> Column:
-    return F.lower(text(c)).rlike(r"(mas|deg|km|kpc|pc|mag|yr|dex|arcsec)")
+    v = F.lower(text(c))
+    out = F.lit(False)
+    for part in UNIT_PARTS:
+        out = out | v.contains(part)
+    return out
 
 
 def column_type(values: Column) -> Column:

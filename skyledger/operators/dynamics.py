@@ -69,6 +69,97 @@ def jeffreys(hits: Column, total: Column) -> tuple[Column, Column, Column]:
     return a, b, a / (a + b)
 
 
+def beta_quantiles(hits: Column, total: Column) -> Column:
+    """struct<p16, median, p84> of the Beta posterior of a share, by bisection on the incomplete beta function."""
+
+    @F.pandas_udf("p16 double, median double, p84 double")
+    def quantiles(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({n: beta_quantile(q, a.to_numpy(float), b.to_numpy(float)) for n, q in (("p16", 0.16), ("median", 0.5), ("p84", 0.84))})
+
+    a, b, _ = jeffreys(hits, total)
+    return quantiles(a.cast("double"), b.cast("double"))
+
+
+def beta_share(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The regularised incomplete beta function, by its continued fraction on the side where that converges fast."""
+    swap = x > (a + 1) / (a + b + 2)
+    x, a, b = np.where(swap, 1 - x, x), np.where(swap, b, a), np.where(swap, a, b)
+    gamma = np.vectorize(math.lgamma, otypes=[float])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        front = np.exp(gamma(a + b) - gamma(a) - gamma(b) + a * np.log(x) + b * np.log1p(-x)) / a
+    c, d = np.ones_like(x), 1 / np.where(np.abs(1 - (a + b) * x / (a + 1)) < 1e-300, 1e-300, 1 - (a + b) * x / (a + 1))
+    value = d
+    for m in range(1, 400):
+        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 + top * d
+            c = 1 + top / c
+            d, c = np.where(np.abs(d) < 1e-300, 1e-300, d), np.where(np.abs(c) < 1e-300, 1e-300, c)
+            d = 1 / d
+            value = value * d * c
+    out = np.where(x <= 0, 0.0, front * value)
+    return np.where(swap, 1 - out, out)
+
+
+def beta_quantile(q: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    low, high = np.zeros_like(a), np.ones_like(a)
+    for _ in range(60):
+        middle = (low + high) / 2
+        below = beta_share(middle, a, b) < q
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+    return np.round((low + high) / 2, 12)
+
+
+def astrometry_error(row: dict[str, Column]) -> Column:
+    """The first thing wrong with a row of astrometry, or an empty text: fields that are missing, then errors that are not positive."""
+    finite = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
+    out = F.lit("")
+    for f in reversed(("parallax_error", "pmra_error", "pmdec_error")):
+        out = F.when(~F.coalesce(row[f] > 0, F.lit(False)), f"missing or non-positive uncertainty: {f}").otherwise(out)
+    for f in reversed(REQUIRED):
+        out = F.when(~F.coalesce(finite(row[f]), F.lit(False)), f"missing or invalid field: {f}").otherwise(out)
+    return out
+
+
+#: Fields that every row of astrometry needs; solutions of five and six parameters.
+REQUIRED = ("ra", "dec", "parallax", "parallax_error", "pmra", "pmdec", "pmra_error", "pmdec_error")
+FIVE, SIX = 31, 95
+
+
+def corrected_parallax(row: dict[str, Column], zero_point: Column) -> Column:
+    """struct<parallax, zero_point, error>: the parallax less its zero point, or one of the reasons why there is none.
+
+    The zero point is a column of the caller's, as its calibration tables are data; null stands for a calibration that failed.
+    """
+    missing = [f for f in ("phot_g_mean_mag", "ecl_lat", "astrometric_params_solved", "parallax", "nu_eff_used_in_astrometry", "pseudocolour") if f not in row]
+    none = F.lit(None).cast("double")
+    if missing:
+        return F.struct(none.alias("parallax"), none.alias("zero_point"), F.lit(f"missing zero-point columns: {', '.join(missing)}").alias("error"))
+    solved = F.floor(row["astrometric_params_solved"])
+    base = row["phot_g_mean_mag"].isNull() | row["ecl_lat"].isNull() | solved.isNull() | row["parallax"].isNull()
+    error = (
+        F.when(base, "missing required zero-point values")
+        .when((solved == FIVE) & row["nu_eff_used_in_astrometry"].isNull(), "missing nu_eff_used_in_astrometry for a five-parameter solution")
+        .when((solved == SIX) & row["pseudocolour"].isNull(), "missing pseudocolour for a six-parameter solution")
+        .when(~solved.isin(FIVE, SIX), F.concat(F.lit("unsupported solution: "), solved.cast("string")))
+        .when(zero_point.isNull(), "the calibration failed")
+        .when(F.isnan(zero_point) | (F.abs(zero_point) == float("inf")), "the zero point is not finite")
+        .otherwise("")
+    )
+    ok = error == ""
+    return F.struct(F.when(ok, row["parallax"] - zero_point).alias("parallax"), F.when(ok, zero_point).alias("zero_point"), error.alias("error"))
+
+
+def grid_axis(low: Column, high: Column, points: int = 5) -> Column:
+    """Evenly spaced points over a range with a twentieth of it on either side; a range from none below zero stays there; without
+    a range the axis is 0 to 1."""
+    span = high - low
+    pad = F.when(span <= 0, F.greatest(F.abs(low) * 1e-6, F.lit(1e-4))).otherwise(F.greatest(span * 0.05, F.lit(1e-4)))
+    a = F.when((low >= 0) & (low - pad < 0), 0.0).otherwise(low - pad)
+    z = high + pad
+    known = low.isNotNull() & high.isNotNull()
+    return F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.when(known, a + (z - a) * i / (points - 1)).otherwise(i / F.lit(float(points - 1))))
+
+
 def log_prior(distance: np.ndarray, alpha: np.ndarray, beta: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Log of the generalised gamma density of a distance."""
     return -((distance / length) ** alpha) + beta * np.log(distance) + np.log(alpha) - (beta + 1) * np.log(length) - np.vectorize(math.lgamma, otypes=[float])((beta + 1) / alpha)

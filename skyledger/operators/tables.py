@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import numbers
 
 #: Table environments by priority, and commands that rule off a header.
 ENVIRONMENTS = ("tabular", "tabular*", "longtable", "deluxetable", "deluxetable*")
@@ -151,3 +155,123 @@ def rows(docs: DataFrame, id_col: str, text: str, kind: str = "html") -> DataFra
             yield pd.DataFrame(out, columns=[id_col, "part", "row", "col", "value"])
 
     return docs.select(id_col, text).mapInPandas(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, part string, row int, col int, value string")
+
+
+# --- tables that a plotting package reads from a file -------------------------------------------------------------------
+
+
+def option(options: str, key: str) -> str:
+    """Value of a key in a comma-separated option list, without the braces around it; empty if there is none."""
+    for part in split_level(options, ","):
+        name, found, value = part.partition("=")
+        if found and name.strip() == key:
+            value = value.strip()
+            return value[1:-1].strip() if value.startswith("{") and closing(value, 0) == len(value) - 1 else value
+    return ""
+
+
+def _arguments(text: str, at: int) -> tuple[str, str | None, int]:
+    """Bracketed options, braced argument (None without one) and the end of both, from a place after a command."""
+    skip = lambda i: i + len(text[i:]) - len(text[i:].lstrip())
+    at, options = skip(at), ""
+    if text[at : at + 1] == "[":
+        end = closing(text, at, "]")
+        if end < 0:
+            return "", None, at + 1
+        options, at = text[at + 1 : end], skip(end + 1)
+    if text[at : at + 1] != "{" or (end := closing(text, at)) < 0:
+        return options, None, at
+    return options, text[at + 1 : end].strip(), end + 1
+
+
+def reads(source: str) -> list[tuple[str, str, str]]:
+    """(macro, path, options) of every file that a source reads into a macro, in order."""
+    text, out = uncommented(source), []
+    for m in re.finditer(r"\\pgfplotstableread(?![A-Za-z@])", text):
+        options, path, end = _arguments(text, m.end())
+        into = re.match(r"\s*\{?\\([A-Za-z@]+)", text[end:])
+        if path is not None and into:
+            out.append((into.group(1), path, options))
+    return out
+
+
+def plotted_table(excerpt: str, source: str, files: dict[str, str]) -> tuple[list[str], list[list[str]], str]:
+    """Header, rows and error of the table that an excerpt typesets from a macro. files: texts by path; source: what stands before
+    the excerpt. The last read of the macro counts."""
+    text = uncommented(excerpt)
+    m = re.search(r"\\pgfplotstabletypeset(?![A-Za-z@])", text)
+    if not m:
+        return [], [], "no table is typeset from a file"
+    options, name, _ = _arguments(text, m.end())
+    if name is None:
+        return [], [], "the source argument is missing"
+    macro = name.lstrip("\\")
+    found = [r for r in reads(source) if r[0] == macro]
+    if not found:
+        return [], [], f"nothing is read into {macro}"
+    _, path, how = found[-1]
+    if path not in files:
+        return [], [], f"no such data file: {path}"
+    mark = {"semicolon": ";", "space": " ", "spaces": " ", "tab": "\t"}.get(option(how, "col sep").lower(), ",")
+    lines = list(csv.reader(files[path].splitlines(), delimiter=mark, skipinitialspace=True))
+    if not lines or not lines[0]:
+        return [], [], f"no header row: {path}"
+    names = lines[0]
+    chosen = [c.strip() for c in split_level(option(options, "columns"), ",") if c.strip()] or names
+    if missing := [c for c in chosen if c not in names]:
+        return [], [], f"no such columns: {', '.join(missing)}"
+    titles = {}
+    for s in re.finditer(r"columns/([^/\s{}]+)/\.style\s*=\s*(?=\{)", options):
+        style = options[s.end() + 1 : closing(options, s.end())]
+        if title := option(style, "column name"):
+            titles[s.group(1)] = clean_cell(title)
+    place = [names.index(c) for c in chosen]
+    data = [[row[i] if i < len(row) else "" for i in place] for row in lines[1:] if row]
+    return [titles.get(c, c) for c in chosen], data, ""
+
+
+def plotted_rows(tables: DataFrame, id_col: str, excerpt: str, source: str, files: str) -> DataFrame:
+    """id, header, rows (arrays of texts) and error of each table; files: map<path, text>. Converted where the row is."""
+
+    def run(batches):
+        for pdf in batches:
+            made = [plotted_table(e or "", s or "", dict(f) if f is not None else {}) for e, s, f in zip(pdf[excerpt], pdf[source], pdf[files])]
+            yield pd.DataFrame({id_col: pdf[id_col], "header": [m[0] for m in made], "rows": [m[1] for m in made], "error": [m[2] for m in made]})
+
+    return tables.select(id_col, excerpt, source, files).mapInPandas(run, f"`{id_col}` {tables.schema[id_col].dataType.simpleString()}, header array<string>, rows array<array<string>>, error string")
+
+
+def columns_of(header: Column, rows_: Column, names: Column | None = None) -> Column:
+    """array<struct<name, original_header, unit_text, data_type>> of a parsed table: header rows joined by bars, the first cell that
+    looks like a unit, and the type of the cells below. Without names columns are col_001 and so on."""
+    n = F.array_max(F.transform(F.concat(header, rows_), lambda r: F.size(r)))
+
+    def one(i: Column) -> Column:
+        titles = F.filter(F.transform(header, lambda r: F.coalesce(F.get(r, i), F.lit(""))), lambda v: v != "")
+        unit = F.coalesce(F.get(F.filter(titles, numbers.unit_like), F.lit(0)), F.lit(""))
+        name = F.format_string("col_%03d", i + 1) if names is None else F.get(names, i)
+        cells = F.transform(F.filter(rows_, lambda r: i < F.size(r)), lambda r: F.get(r, i))
+        return F.struct(name.alias("name"), F.array_join(titles, " | ").alias("original_header"), unit.alias("unit_text"), numbers.column_type(cells).alias("data_type"))
+
+    none = F.array().cast("array<struct<name:string,original_header:string,unit_text:string,data_type:string>>")
+    return F.when(F.coalesce(n, F.lit(0)) > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), one)).otherwise(none)
+
+
+def macros_left(rows_: Column) -> Column:
+    """Commands that cleaning has left in cells, each once, sorted."""
+    found = F.flatten(F.transform(F.flatten(rows_), lambda v: F.regexp_extract_all(v, F.lit(r"(\\[A-Za-z@]+)"), F.lit(1))))
+    return F.array_sort(F.array_distinct(found))
+
+
+def converted(attempts: list[tuple[str, Column, Column]]) -> Column:
+    """struct<method, rows, log> of a cascade of converters (name, rows or null, error): the first that gave rows, and what each
+    attempt before it said."""
+    method, rows_, log = F.lit(None).cast("string"), None, []
+    for name, got, error in reversed(attempts):
+        method = F.when(got.isNotNull(), name).otherwise(method)
+    rows_ = F.coalesce(*(got for _, got, _ in attempts))
+    done = F.lit(False)
+    for name, got, error in attempts:
+        log.append(F.when(~done, F.concat(F.lit(f"{name}: "), F.when(got.isNotNull(), "success").otherwise(F.coalesce(error, F.lit("failed"))))))
+        done = done | got.isNotNull()
+    return F.struct(method.alias("method"), rows_.alias("rows"), F.array_compact(F.array(*log)).alias("log"))

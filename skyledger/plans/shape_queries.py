@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import replies
-from ..operators import objects, papers, provenance, rules
+from ..operators import dynamics, objects, papers, provenance, rules, tables
 from . import paper_queries
 from .queries import c, lit, query, t
 
@@ -172,3 +172,55 @@ def ecsv_text(spark, d):
 def external_page_parts(spark, d):
     html = F.concat(F.coalesce("html", lit("")), F.when(c("page_id") % 4 == 0, lit('<IMG alt="" SRC="//x.org/a.png">')).otherwise('<img src="a.png"><a href="https://x.org">'))
     return t(spark, d, "pages").select("page_id", objects.external_dependencies(html).alias("external"))
+
+
+# --- tables out of files, and dynamics --------------------------------------------------------------------------------
+
+
+@query("""SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN 'Name [km/s]|key' WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN 'name|key' ELSE 'key|name' END AS header, CASE n_nationkey % 5 WHEN 0 THEN n_name || ',' || n_nationkey WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN n_name || ',' || n_nationkey ELSE n_nationkey || ',' || n_name END AS first_row,
+  CASE n_nationkey % 5 WHEN 1 THEN 'nothing is read into other' WHEN 2 THEN 'no such columns: age' ELSE '' END AS error FROM nation""")
+def plotted_file_tables(spark, d):
+    k, name = c("n_nationkey"), c("n_name")
+    m = k % 5
+    source = F.concat(lit("% \\\\pgfplotstableread{no.csv}\\\\data\n\\\\pgfplotstableread[col sep=").cast("string"), F.when(m == 4, "semicolon").otherwise("comma"), lit("]{t.csv}\\\\data"))
+    source = F.replace(source, lit("\\\\"), lit("\\"))
+    what = F.when(m == 0, "[columns={name,key}, columns/name/.style={column name={Name [km/s]}}]{\\data}").when(m == 1, "{\\other}").when(m == 2, "[columns={name,age}]{\\data}").when(m == 3, "[columns={name,key}]{\\data}").otherwise("{\\data}")
+    text = F.when(m == 4, F.concat(lit("key;name\n"), k.cast("string"), lit(";"), name)).otherwise(F.concat(lit("key, name\n"), k.cast("string"), lit(', "'), name, lit('"')))
+    x = t(spark, d, "nation").select("n_nationkey", F.concat(lit("\\pgfplotstabletypeset"), what).alias("excerpt"), source.alias("source"), F.create_map(lit("t.csv"), text).alias("files"))
+    got = tables.plotted_rows(x, "n_nationkey", "excerpt", "source", "files")
+    return got.select("n_nationkey", F.array_join("header", "|").alias("header"), F.coalesce(F.array_join(F.get("rows", lit(0)), ","), lit("")).alias("first_row"), "error")
+
+
+@query("""SELECT c_custkey, 'col_001:Name:' || CASE WHEN c_custkey % 2 = 0 THEN ':mixed' ELSE ':string' END || ';col_002:Speed | [km/s]:[km/s]:' || CASE WHEN c_custkey % 3 = 0 THEN 'number' WHEN c_custkey % 3 = 1 THEN '' ELSE 'mixed' END AS columns, CASE WHEN c_custkey % 2 = 1 THEN '\\alpha,\\foo' ELSE '\\foo' END AS macros FROM customer""")
+def column_records(spark, d):
+    k = c("c_custkey")
+    header = F.array(F.array(lit("Name"), lit("Speed")), F.array(lit(""), lit("[km/s]")))
+    third = k % 3
+    cell = lambda a, b, z: F.when(third == 0, a).when(third == 1, b).otherwise(z)
+    rows = F.array(F.array(F.when(k % 2 == 0, "7").otherwise("a \\alpha"), cell("1,000", "...", "3 +/- 1")), F.array(lit("\\foo"), cell("2", "", "x")))
+    x = tables.columns_of(header, rows)
+    shown = F.array_join(F.transform(x, lambda r: F.concat_ws(":", r["name"], r["original_header"], r["unit_text"], r["data_type"])), ";")
+    return t(spark, d, "customer").select("c_custkey", shown.alias("columns"), F.array_join(tables.macros_left(rows), ",").alias("macros"))
+
+
+@query("""WITH x AS (SELECT s_suppkey AS k FROM supplier) SELECT k, CASE k % 8 WHEN 0 THEN 'missing required zero-point values' WHEN 1 THEN 'missing nu_eff_used_in_astrometry for a five-parameter solution' WHEN 2 THEN 'missing pseudocolour for a six-parameter solution' WHEN 3 THEN 'unsupported solution: 3' WHEN 4 THEN 'the calibration failed' WHEN 5 THEN 'the zero point is not finite' ELSE '' END AS error,
+  CASE WHEN k % 8 > 5 THEN 2.5 END::DOUBLE AS parallax, CASE WHEN k % 5 = 0 THEN 'missing or invalid field: parallax' WHEN k % 5 = 1 THEN 'missing or non-positive uncertainty: pmra_error' ELSE '' END AS row_error, CASE WHEN k % 3 = 0 THEN 0.0 ELSE 1.0 - 0.05 * (k - 1) END::DOUBLE AS axis_start FROM x WHERE k > 1""")
+def astrometry_gates(spark, d):
+    x = t(spark, d, "supplier").select(c("s_suppkey").alias("k")).where("k > 1")
+    k, none = c("k"), F.lit(None).cast("double")
+    m = k % 8
+    row = {
+        "phot_g_mean_mag": F.when(m != 0, 15.0), "ecl_lat": lit(1.0), "astrometric_params_solved": F.when(m == 3, 3.0).when(m == 2, 95.0).otherwise(31.0), "parallax": lit(2.0),
+        "nu_eff_used_in_astrometry": F.when(m != 1, 1.5), "pseudocolour": none,
+    }
+    zero = F.when(m == 4, none).when(m == 5, float("nan")).otherwise(-0.5)
+    full = {f: lit(1.0) for f in dynamics.REQUIRED} | {"parallax": F.when(k % 5 == 0, float("nan")).otherwise(1.0), "pmra_error": F.when(k % 5 == 1, 0.0).otherwise(0.1)}
+    p = dynamics.corrected_parallax(row, zero)
+    low = F.when(k % 3 == 0, 0.01).otherwise(1.0)
+    return x.select("k", p["error"].alias("error"), p["parallax"].alias("parallax"), dynamics.astrometry_error(full).alias("row_error"), F.get(dynamics.grid_axis(low, F.when(k % 3 == 0, lit(5.0)).otherwise(k.cast("double"))), lit(0)).alias("axis_start"))
+
+
+@query()
+def unbound_share_quantiles(spark, d):
+    x = t(spark, d, "supplier").select("s_suppkey", (c("s_suppkey") * 7 % 101).alias("hits"))
+    return x.withColumn("q", dynamics.beta_quantiles(c("hits"), lit(100))).select("s_suppkey", "hits", "q.p16", "q.median", "q.p84")
