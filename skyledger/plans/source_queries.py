@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import enrichment, inventory
+from ..operators import enrichment, inventory, outcomes
 from ..streaming import windows
 from .queries import c, lit, query, t
 
@@ -92,3 +92,47 @@ def papers_with_catalogues(spark, d):
 def event_windows(spark, d):
     x = windows.windowed_counts(t(spark, d, "events"), "ts", "event_type")
     return x.select(F.date_format("window.start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n")
+
+
+# --- outcomes of the dynamics -----------------------------------------------------------------------------------------
+
+
+def _outcomes(spark, d):
+    k = c("c_custkey")
+    s = k.cast("string")
+    canonical = F.when(k % 4 == 0, F.concat(lit("Gaia EDR3 "), s)).otherwise("HVS 1")
+    values = F.when(k % 3 == 0, F.array(F.concat(lit("gaia dr3 "), s), lit("Gaia DR2 1"))).when(k % 3 == 1, F.array(lit("x"), lit("Gaia DR3 7")))
+    one = lit(1.0)
+    cached = F.struct(
+        F.when(k % 5 == 0, "missing").otherwise("matched").alias("status"), F.when(k % 10 == 1, "").when(k % 10 == 2, "99").otherwise(F.when((k % 3 == 1) & (k % 4 > 0), "7").otherwise(s)).alias("number"),
+        one.alias("ra"), one.alias("dec"), one.alias("parallax"), F.when(k % 6 == 5, 0.25).otherwise(0.1).alias("parallax_error"), one.alias("pmra"), one.alias("pmdec"), one.alias("pmra_error"), F.when(k % 7 == 6, 0.0).otherwise(1.0).alias("pmdec_error"),
+        one.alias("phot_g_mean_mag"), one.alias("ecl_lat"), lit(31.0).alias("astrometric_params_solved"), F.when(k % 8 != 7, 1.5).alias("nu_eff_used_in_astrometry"), lit(None).cast("double").alias("pseudocolour"), lit(-0.25).alias("zero_point"),
+    )
+    quantity = lambda v, e: F.struct(lit(v).alias("value"), lit(e).alias("error"))
+    choices = F.when(k % 9 < 3, F.array(quantity("500 km/s", ""), quantity("480", "±5"), quantity("470", "2"))).when(k % 9 < 6, F.array(quantity("none", "1"), quantity("300", "")))
+    return t(spark, d, "customer").select(k.alias("object_id"), canonical.alias("canonical"), values.alias("values"), cached.alias("cached"), choices.alias("choices"))
+
+
+_OUT = """o AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 OR c_custkey % 3 = 0 THEN c_custkey::VARCHAR WHEN c_custkey % 3 = 1 THEN '7' END AS own, c_custkey % 5 > 0 AS matched, CASE WHEN c_custkey % 10 = 1 THEN '' WHEN c_custkey % 10 = 2 THEN '99' WHEN c_custkey % 3 = 1 AND c_custkey % 4 > 0 THEN '7' ELSE c_custkey::VARCHAR END AS row FROM customer),
+  p AS (SELECT *, coalesce(own, CASE WHEN matched AND row <> '' THEN row END) AS number FROM o), q AS (SELECT *, matched AND (row = '' OR row = number) AS fits FROM p), r AS (SELECT *, CASE WHEN number IS NULL OR NOT fits THEN 'gaia astrometry not available' WHEN k % 7 = 6 THEN 'gaia astrometry not available' WHEN k % 8 = 7 THEN 'zero point correction not available' WHEN k % 6 = 5 THEN 'parallax uncertainty too large' ELSE '' END AS reason FROM q)"""
+
+
+@query(f"""WITH {_OUT} SELECT k AS object_id, CASE WHEN reason = '' THEN 'ready' ELSE 'skipped' END AS status, reason, number, CASE WHEN reason = '' THEN CASE WHEN k % 9 < 3 THEN 470 WHEN k % 9 < 6 THEN 300 END END::DOUBLE AS rv, concat_ws(',', CASE WHEN k % 4 = 0 AND k % 3 = 1 AND k <> 7 THEN 'multiple_gaia_dr3_source_ids' END, CASE WHEN own IS NULL AND number IS NOT NULL THEN 'gaia_source_id_from_external_cache' END,
+    CASE WHEN number IS NOT NULL AND NOT fits THEN 'gaia_external_cache_missing' END, CASE WHEN number IS NOT NULL AND fits AND k % 7 = 6 THEN 'gaia_astrometry_invalid' END, CASE WHEN number IS NOT NULL AND fits AND k % 7 < 6 AND k % 8 = 7 THEN 'zero_point_correction_failed' END,
+    CASE WHEN reason = '' AND k % 9 BETWEEN 3 AND 5 THEN 'radial_velocity_uncertainty_missing' WHEN reason = '' AND k % 9 > 5 THEN 'minimum_grf_velocity_assumption' END, CASE WHEN reason = '' AND k % 9 BETWEEN 3 AND 5 THEN 'radial_velocity_held_fixed' END) AS warnings FROM r""")
+def dynamics_decisions(spark, d):
+    x = outcomes.decided(_outcomes(spark, d))
+    return x.select("object_id", "status", "reason", "number", c("radial_velocity.value").alias("rv"), F.array_join("warnings", ",").alias("warnings"))
+
+
+@query(f"WITH {_OUT} SELECT CASE WHEN reason = '' THEN 'ready' ELSE 'skipped' END AS status, reason, count(*) AS n FROM r GROUP BY ALL")
+def dynamics_reasons(spark, d):
+    return outcomes.reasons(outcomes.decided(_outcomes(spark, d)))
+
+
+@query("""SELECT l_partkey AS object_id, count(*) AS n, count(*) FILTER (l_quantity * 1000 < l_extendedprice) AS unbound, round(count(*) FILTER (l_quantity * 1000 < l_extendedprice) / count(*), 12) AS unbound_fraction, round((count(*) FILTER (l_quantity * 1000 < l_extendedprice) + 0.5::DOUBLE) / (count(*) + 1), 12) AS p_unbound, count(*) FILTER (l_quantity * 1000 < l_extendedprice) = 0 AS graveyard,
+  round(quantile_cont(l_extendedprice::DOUBLE, 0.5), 6) AS speed_median, round(quantile_cont(l_extendedprice::DOUBLE, 0.16), 6) AS speed_p16, round(quantile_cont((l_quantity * 1000)::DOUBLE, 0.84), 6) AS escape_p84 FROM lineitem GROUP BY 1""")
+def posterior_summary(spark, d):
+    x = t(spark, d, "lineitem").select(c("l_partkey").alias("object_id"), c("l_extendedprice").cast("double").alias("speed"), (c("l_quantity") * 1000).cast("double").alias("escape"))
+    s = outcomes.summary(x, "object_id", "speed", "escape")
+    return s.select("object_id", "n", "unbound", "unbound_fraction", "p_unbound", "graveyard", F.round("speed_median", 6).alias("speed_median"), F.round("speed_p16", 6).alias("speed_p16"), F.round("escape_p84", 6).alias("escape_p84"))
