@@ -78,7 +78,7 @@ def review_index_counters(spark, d):
     return catalogue.index_counters(x, "year")
 
 
-@query("""WITH x AS (SELECT s_suppkey AS k, 'Star ' || s_suppkey AS n FROM supplier) SELECT k, CASE WHEN k % 2 = 0 THEN n ELSE '' END AS alias_matches, k % 2 = 0 AS identifier_match, k % 3 = 0 AS gaia_match, round(CASE WHEN k % 5 = 0 THEN 3.6 ELSE 36.0 END, 4) AS separation1,
+@query("""WITH x AS (SELECT s_suppkey AS k, 'Star ' || s_suppkey AS n FROM supplier) SELECT k, CASE WHEN k % 2 = 0 THEN n ELSE '' END AS alias_matches, k % 2 = 0 AS identifier_match, k % 3 = 0 AS gaia_match, round(CASE WHEN k % 5 = 0 THEN 3.6 ELSE 36.0 END::DOUBLE, 4) AS separation1,
   concat_ws(',', CASE WHEN k % 3 = 1 THEN 'source_id_mismatch' END, CASE WHEN k % 5 > 0 THEN 'first_provider_far' END) AS warnings FROM x""")
 def provider_verification(spark, d):
     k = c("s_suppkey")
@@ -91,7 +91,7 @@ def provider_verification(spark, d):
 
 
 @query("""WITH l AS (SELECT c_custkey % 50 AS k, 'src-' || c_custkey AS source, CASE c_custkey % 3 WHEN 0 THEN 'parallax' WHEN 1 THEN 'radial_velocity' ELSE 'other' END AS field, c_custkey % 3 AS f, c_custkey AS v FROM customer WHERE c_custkey % 7 <> 0) , o AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN 'parallax' ELSE 'radial_velocity' END AS field, s_suppkey AS v FROM supplier)
-  SELECT l.k, l.source, l.field, round((l.v + 0.5) - o.v, 12) AS difference, CASE WHEN o.v % 4 = 0 THEN 'mas' ELSE 'u' END AS unit FROM l JOIN o ON l.k = o.k AND l.field = o.field""")
+  SELECT l.k, l.source, l.field, round((l.v + 0.5::DOUBLE) - o.v, 12) AS difference, CASE WHEN o.v % 4 = 0 THEN 'mas' ELSE 'u' END AS unit FROM l JOIN o ON l.k = o.k AND l.field = o.field""")
 def literature_differences(spark, d):
     k, s = c("c_custkey"), c("s_suppkey")
     l = t(spark, d, "customer").select((k % 50).alias("k"), F.concat(lit("src-"), k.cast("string")).alias("source"), F.when(k % 3 == 0, "parallax").when(k % 3 == 1, "radial_velocity").otherwise("other").alias("field"), F.when(k % 7 == 0, "none").otherwise(F.concat(lit("~"), k.cast("string"), lit(".5"))).alias("value"), lit("u").alias("unit"))

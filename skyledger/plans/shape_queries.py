@@ -204,7 +204,7 @@ def column_records(spark, d):
 
 
 @query("""WITH x AS (SELECT s_suppkey AS k FROM supplier) SELECT k, CASE k % 8 WHEN 0 THEN 'missing required zero-point values' WHEN 1 THEN 'missing nu_eff_used_in_astrometry for a five-parameter solution' WHEN 2 THEN 'missing pseudocolour for a six-parameter solution' WHEN 3 THEN 'unsupported solution: 3' WHEN 4 THEN 'the calibration failed' WHEN 5 THEN 'the zero point is not finite' ELSE '' END AS error,
-  CASE WHEN k % 8 > 5 THEN 2.5 END::DOUBLE AS parallax, CASE WHEN k % 5 = 0 THEN 'missing or invalid field: parallax' WHEN k % 5 = 1 THEN 'missing or non-positive uncertainty: pmra_error' ELSE '' END AS row_error, CASE WHEN k % 3 = 0 THEN 0.0 ELSE 1.0 - 0.05 * (k - 1) END::DOUBLE AS axis_start FROM x WHERE k > 1""")
+  CASE WHEN k % 8 > 5 THEN 2.5 END::DOUBLE AS parallax, CASE WHEN k % 5 = 0 THEN 'missing or invalid field: parallax' WHEN k % 5 = 1 THEN 'missing or non-positive uncertainty: pmra_error' ELSE '' END AS row_error, CASE WHEN k % 3 = 0 THEN 0.0 ELSE greatest(0.0, 1.0 - 0.05 * (k - 1)) END::DOUBLE AS axis_start FROM x WHERE k > 1""")
 def astrometry_gates(spark, d):
     x = t(spark, d, "supplier").select(c("s_suppkey").alias("k")).where("k > 1")
     k, none = c("k"), F.lit(None).cast("double")

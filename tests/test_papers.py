@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import numbers as nm
 from skyledger.functions import replies
-from skyledger.operators import catalogue, checks, dynamics, objects, papers, referee, rules, search, tables
+from skyledger.operators import catalogue, checks, dynamics, enrichment, inventory, objects, outcomes, papers, referee, rules, search, tables
 
 
 def one(spark, column):
@@ -152,3 +152,31 @@ def test_sources_and_files(spark):
     t = one(spark, search.triage_record(F.lit('{"id":"1","_title_triage":{"label":"x","confidence":0.5},"_review":{"status":"ok"}}'), "main", "r"))
     assert (t["title_triage"]["label"], t["title_triage"]["confidence"], t["review"]["status"]) == ("x", 0.5, "ok")
     assert one(spark, catalogue.version_agreement(F.lit(None).cast("int"), F.lit(2))) is None
+
+
+def test_halved_batches():
+    asked = []
+
+    def query(values):
+        asked.append(list(values))
+        if 3 in values or len(values) > 4:
+            raise RuntimeError("refused")
+        return [v * 10 for v in values]
+
+    assert enrichment.halved(list(range(8)), query) == [0, 10, 20, 40, 50, 60, 70]
+    assert enrichment.halved([], query) == [] and [3] in asked
+
+
+def test_inventory_of_odd_sources(spark):
+    texts = [None, "", "\\begin{table}", "50\\% \\begin{table}\\caption{a {b {c}} d}\n\\end{table}", "\\begin{longtable}\\label{x}\\end{longtable}\n\n\\begin{table*}\\end{table}\\end{table*}"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", inventory.table_blocks(F.col("t")).alias("b")).collect()
+    assert [len(r.b) for r in got] == [0, 0, 0, 1, 2]
+    assert (got[3].b[0].caption, got[3].b[0].start_line, got[3].b[0].end_line) == ("a {b {c}} d", 1, 2) and got[4].b[1].start_line == 3
+    paths = ["a/x.FITS.gz", "b.csv", "c.tex", "README", ".csv", None]
+    assert [one(spark, inventory.data_suffix(F.lit(p).cast("string"))) for p in paths] == [".fits.gz", ".csv", None, None, None, None]
+
+
+def test_outcomes_without_anything(spark):
+    assert one(spark, outcomes.velocity_choice(F.lit(None).cast("array<struct<value:string,error:string>>")))["lower_limit"]
+    chosen = one(spark, outcomes.source_choice(F.lit(None).cast("string"), F.array(F.lit("x"), F.lit("Gaia DR3 5"), F.lit("gaia edr3 6"))))
+    assert (chosen["number"], chosen["several"]) == ("5", True)
