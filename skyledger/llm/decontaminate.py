@@ -250,6 +250,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """docs without those that cover a benchmark item, each row judged by its own text, with or without an id."""
-    bad = found(docs, benchmark, coverage, MIN_MATCH, id_col, text, item_id).select(F.col("id").alias("_id"), F.col("th").alias("_bad")).distinct()
-    marked = docs.withColumn("_th", F.unhex(F.md5(F.col(text))))
-    return marked.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_bad")), "left_anti").select(*docs.columns)
+    bad = found(docs, benchmark, coverage, MIN_MATCH, id_col, text, item_id).select(F.col("id").alias("__bad_id"), F.col("th").alias("__bad_th")).distinct()
+    marked = docs.withColumn("__th", F.unhex(F.md5(F.col(text))))
+    return marked.join(bad, F.col(id_col).eqNullSafe(F.col("__bad_id")) & (F.col("__th") == F.col("__bad_th")), "left_anti").select(*docs.columns)

@@ -315,9 +315,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     best = counted.groupBy("label").agg(F.min("row").alias("best"))
     judged = counted.join(best, "label")
     gone = judged.where((F.col("row") != F.col("best")) | (F.col("n") > 1))
-    gone = written(gone.select(F.col("row.id").alias("_id"), F.col("row.th").alias("_th"), (F.col("row") == F.col("best")).alias("_one")), "gone")
-    marked = docs.withColumn("_th", digest(text))
-    same = (F.col(id_col) == F.col("_id")) & marked["_th"].eqNullSafe(gone["_th"])
+    gone = written(gone.select(F.col("row.id").alias("__gone_id"), F.col("row.th").alias("__gone_th"), (F.col("row") == F.col("best")).alias("__gone_one")), "gone")
+    marked = docs.withColumn("__th", digest(text))
+    same = (F.col(id_col) == F.col("__gone_id")) & F.col("__th").eqNullSafe(F.col("__gone_th"))
     single = marked.join(gone, same, "left_anti").select(*docs.columns)
-    again = marked.join(gone.where("_one"), same, "left_semi").dropDuplicates([id_col, "_th"]).select(*docs.columns)
+    again = marked.join(gone.where("__gone_one"), same, "left_semi").dropDuplicates([id_col, "__th"]).select(*docs.columns)
     return single.unionByName(again)

@@ -318,3 +318,15 @@ def test_fitting_rows_stay_within_their_bound(spark):
     assert got and all(0 < n <= 100 for n in got.values())
     m = langid.fit(docs, 100)
     assert sorted(m.langs) == ["de", "en"] and langid.predict(docs.select("doc_id", "text"), m).count() == 700
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ("id", "_id", "_th", "_t", "th", "fp", "node", "keys", "label", "row", "item", "seed", "seeds", "coverage", "_bad", "_one", "n", "a", "b")
+    rows = [(1, "one two three four five six seven"), (2, "one two three four five six seven"), (3, "other words of another kind here now"), (None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id", "text", *(f"'{x}' AS `{x}`" for x in names))
+    bench = spark.createDataFrame([(1, "other words of another kind")], "item_id bigint, text string")
+    kept = dedup.deduplicated(docs)
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
+    clean = decontaminate.clean(docs, bench)
+    assert clean.columns == docs.columns and sorted(str(r.doc_id) for r in clean.collect()) == ["1", "2", "None"]
+    assert all(r[x] == x for r in clean.collect() for x in names)
