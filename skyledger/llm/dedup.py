@@ -258,7 +258,8 @@ def linked(docs: DataFrame, id_col: str, text: str, width: int, bands: int, rows
     dropped(some)
     first = written(met.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
     wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "first.id", "first.th")
-    texts = source.withColumn("th", digest("text")).join(wanted, ["id", "th"]).select("node", "text").dropDuplicates(["node"])
+    # a node's first row may stand there again; the join has brought such rows together already
+    texts = source.withColumn("th", digest("text")).join(wanted, ["id", "th"]).dropDuplicates(["id", "th"]).select("node", "text")
     texts = written(texts, "texts")
     dropped(nodes)
     links = written(similar(first, texts, width, least), "links")
@@ -319,5 +320,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     marked = docs.withColumn("__th", digest(text))
     same = (F.col(id_col) == F.col("__gone_id")) & F.col("__th").eqNullSafe(F.col("__gone_th"))
     single = marked.join(gone, same, "left_anti").select(*docs.columns)
+    if not gone.where("__gone_one").head(1):  # no kept row occurs again, so texts needn't move for it
+        return single
     again = marked.join(gone.where("__gone_one"), same, "left_semi").dropDuplicates([id_col, "__th"]).select(*docs.columns)
     return single.unionByName(again)
