@@ -241,4 +241,6 @@ def test_provenance_and_allocation(spark):
     assert one(spark, rules.lineage_gaps(F.lit("orbit"), F.lit("orbit_integration"), F.array(F.lit("velocity_calculation")))) == 1
     x = spark.createDataFrame([("a",)] * 7 + [("b",)] * 2 + [("c",)], "s string")
     assert {r.s: r.sampled for r in rollups.allocated(x, "s", 5).collect()} == rollups.allocation({"a": 7, "b": 2, "c": 1}, 5)
-    assert rollups.allocated(x.where("false"), "s", 5).count() == 0 and {r.weight for r in rollups.allocated(x, "s", 99).collect()} == {1.0}
+    assert rollups.allocated(x.where("false"), "s", 5).count() == 0 and {r.weight for r in rollups.allocated(x, "s", 10).collect()} == {1.0}
+    with pytest.raises(Exception, match="more is asked for than there is"):  # more than the population is refused
+        rollups.allocated(x, "s", 99).collect()
