@@ -11,11 +11,21 @@ from pyspark.sql import functions as F
 
 from ..functions import replies
 from ..functions import text as tx
-from . import papers
+from . import papers, rollups
 
 OBSERVED = papers.CORE["observed_phase_space"]
 
 
+def source_number(n: Column) -> Column:
+    return F.format_string("src-%03d", n)
+
+
+def source_row(source: Column, s: Column, path: Column, paper: Column) -> Column:
+    """The row by which an object names a contribution: its source, the four fields of its reference and its paper."""
+    ref = papers.candidate_ref(s, path)
+    return F.struct(source.alias("source"), *(ref[f].alias(f) for f in ("record_id", "paper_candidate_id", "gaia_source_id", "source_json_path")), paper.alias("paper"))
+
+
 def records(contributions: DataFrame, key: str, order: list[str]) -> DataFrame:
     """key, sources (src-001 and so on in order, with paper and reference) and candidates (with their source) of each object.
 
@@ -23,9 +33,8 @@ def records(contributions: DataFrame, key: str, order: list[str]) -> DataFrame:
     its document is; its contributions are numbered by a window over its key.
     """
     n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    x = contributions.withColumn("source", F.format_string("src-%03d", n))
-    ref = papers.candidate_ref(F.col("s"), F.col("path"))
-    source = F.struct(F.col("source"), *(ref[f].alias(f) for f in ("record_id", "paper_candidate_id", "gaia_source_id", "source_json_path")), F.struct("arxiv_id", "month").alias("paper"))
+    x = contributions.withColumn("source", source_number(n))
+    source = source_row(F.col("source"), F.col("s"), F.col("path"), F.struct("arxiv_id", "month"))
     g = x.groupBy(key).agg(F.collect_list(F.struct("source", source.alias("row"), F.col("s").alias("s"))).alias("e"))
     g = g.withColumn("e", F.array_sort("e", lambda a, b: F.when(a["source"] < b["source"], -1).otherwise(1)))  # compact candidates hold maps, which have no order
     return g.select(key, F.transform("e", lambda e: e["row"]).alias("sources"), F.transform("e", lambda e: F.struct(e["source"].alias("source"), e["s"].alias("s"))).alias("candidates"))
@@ -101,7 +110,22 @@ def coverage(candidates: Column) -> Column:
 
 def source_summary(row: Column, candidates: Column, label: Column, year: Column) -> Column:
     """What the index shows of one source: references, paper, quantities as text, context."""
-    s = candidate_for(candidates, row["source"])
+    return summary_of(row, candidate_for(candidates, row["source"]), label, year)
+
+
+def source_summaries(contributions: DataFrame, key: str, order: list[str], label: Column, year: Column) -> DataFrame:
+    """key, path and s (summary) of every contribution, with the sources that records() gives them.
+
+    An object's contributions are never brought together: each is summed up alone, and the numbers come from ranges.
+    """
+    row = source_row(F.lit(""), F.col("s"), F.col("path"), F.struct("arxiv_id", "month"))
+    x = contributions.select(key, *order, F.col("path").alias("_path"), summary_of(row, F.col("s"), label, year).alias("_summary"))
+    x = rollups.numbered_within(x, key, order, "_number")
+    return x.select(key, F.col("_path").alias("path"), F.col("_summary").withField("source", source_number(F.col("_number"))).alias("s"))
+
+
+def summary_of(row: Column, s: Column, label: Column, year: Column) -> Column:
+    """The summary of a source and its compact candidate."""
     core, why, paper = s["core"], s["candidate_context"], row["paper"]
     return F.struct(
         *(row[f].alias(f) for f in ("source", "record_id", "paper_candidate_id", "gaia_source_id")),

@@ -93,11 +93,18 @@ def interval_texts(spark, d):
 # --- object records ---------------------------------------------------------------------------------------------------
 
 
-def object_rows(spark, d):
-    """Object records of the paper candidates, by their own names."""
+_ORDER = ["month", "path", "index"]
+
+
+def object_parts(spark, d):
+    """The paper candidates as contributions to objects, by their own names."""
     x = paper_queries.read(spark, d).withColumn("s", papers.simplified(c("c")))
-    x = x.select(F.col("s.identifiers.paper_candidate_id").alias("object_id"), "arxiv_id", "month", "path", "index", "s")
-    return objects.records(x, "object_id", ["month", "path", "index"])
+    return x.select(F.col("s.identifiers.paper_candidate_id").alias("object_id"), "arxiv_id", "month", "path", "index", "s")
+
+
+def object_rows(spark, d):
+    """Object records of the paper candidates."""
+    return objects.records(object_parts(spark, d), "object_id", _ORDER)
 
 
 _OBJ = f"""{paper_queries._DUCK}, o AS (SELECT *, {paper_queries._OWN} AS object_id, concat('20', lpad((10 + p % 10)::VARCHAR, 2, '0'), '-05') AS month, {paper_queries._GAIA} AS gaia, CASE k % 5 WHEN 0 THEN '8.5' WHEN 1 THEN '~8' WHEN 2 THEN '$8$' WHEN 3 THEN '' ELSE '1e3' END AS dist,
@@ -118,8 +125,7 @@ def object_index_rows(spark, d):
 @query(f"""WITH {_OBJ} SELECT object_id, format('src-{{:03d}}', n) AS source, gaia AS gaia_source_id, arxiv AS path, trim(concat_ws(' ', 'arXiv', CASE WHEN p % 7 = 6 THEN '' ELSE arxiv END, left(month, 4))) AS reported_by, CASE WHEN dist = '' THEN '' WHEN k % 3 = 0 THEN dist || ' ± 0.2' ELSE dist END AS distance,
   {paper_queries._CLAIM} AS bound_claim, CASE k % 6 WHEN 0 THEN '' WHEN 1 THEN 'hvs_candidate' WHEN 2 THEN 'odd' ELSE 'hvs_candidate|escaping_star' END AS labels FROM o""")
 def object_sources(spark, d):
-    x = object_rows(spark, d).select("object_id", "candidates", F.explode("sources").alias("row"))
-    s = x.select("object_id", c("row.source_json_path").alias("path"), objects.source_summary(c("row"), c("candidates"), lit(""), lit("")).alias("s"))
+    s = objects.source_summaries(object_parts(spark, d), "object_id", _ORDER, lit(""), lit(""))
     return s.select("object_id", "s.source", "s.gaia_source_id", "path", "s.reported_by", c("s.phase_space.distance").alias("distance"), "s.bound_claim", F.array_join("s.paper_labels", "|").alias("labels"))
 
 

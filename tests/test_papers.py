@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import numbers as nm
 from skyledger.functions import replies
-from skyledger.operators import catalogue, checks, dynamics, enrichment, inventory, objects, outcomes, papers, referee, rules, search, tables
+from skyledger.operators import catalogue, checks, dynamics, enrichment, inventory, objects, outcomes, papers, referee, rollups, rules, search, tables
+from skyledger.plans import shape_queries
 
 
 def one(spark, column):
@@ -180,3 +181,21 @@ def test_outcomes_without_anything(spark):
     assert one(spark, outcomes.velocity_choice(F.lit(None).cast("array<struct<value:string,error:string>>")))["lower_limit"]
     chosen = one(spark, outcomes.source_choice(F.lit(None).cast("string"), F.array(F.lit("x"), F.lit("Gaia DR3 5"), F.lit("gaia edr3 6"))))
     assert (chosen["number"], chosen["several"]) == ("5", True)
+
+
+def test_numbers_within_very_common_keys(spark):
+    rng = random.Random(11)
+    rows = [(k, v) for k, n in ((None, 30), ("a", 700), ("b", 1), ("c", 300)) for v in range(n)]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows make one range
+    try:
+        shown = rollups.numbered_within(spark.createDataFrame(rows, "k string, v int"), "k", ["v"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.k or "", r.v, r.n) for r in shown.collect()) == sorted((k or "", v, v + 1) for k, v in rows)
+    assert rollups.numbered_within(spark.createDataFrame([], "k string, v int"), "k", ["v"]).count() == 0
+
+
+def test_sources_of_a_common_object_stay_apart(spark):
+    plan = shape_queries.object_sources(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan  # no row holds all candidates of an object
