@@ -265,3 +265,8 @@ def odd_words(tmp_path_factory):
 def test_words_end_as_in_sql(spark, odd_words):
     got, want = against_sql(spark, "rule_triage", odd_words)
     assert got == want and len(got) == 19
+
+
+def test_counts_of_words_that_end_as_in_sql(spark, odd_words):
+    got, want = against_sql(spark, "rule_triage_counts", odd_words)
+    assert got == want and len(got) == 3
