@@ -16,6 +16,7 @@ from skyledger.functions import sky
 from skyledger.functions import text as tx
 from skyledger.operators import dynamics, lineage, linkage, packing, rollups, rules, tables, view
 from skyledger.plans import queries as catalog
+from skyledger.plans import shape_queries
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "record_id string, gaia_id string, provider_id string, object_key string, name string, ra double, dec double, month string"
@@ -270,3 +271,22 @@ def test_words_end_as_in_sql(spark, odd_words):
 def test_counts_of_words_that_end_as_in_sql(spark, odd_words):
     got, want = against_sql(spark, "rule_triage_counts", odd_words)
     assert got == want and len(got) == 3
+
+
+@pytest.fixture(scope="module")
+def many_customers(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("customers")  # more than 999 contributions for each of eight objects
+    duckdb.sql(f"copy (select c_custkey + i * 150 as c_custkey, * exclude (c_custkey) from '{SF}/customer.parquet', range(76) r(i)) to '{folder}/customer.parquet'")
+    return folder
+
+
+def test_more_than_999_sources_in_order(spark, many_customers):
+    con = duckdb.connect()
+    con.sql(f"create view customer as select * from '{many_customers}/customer.parquet'")
+    got = catalog.QUERIES["viewer_columns"](spark, str(many_customers)).select("object_id", "distances", "n_types", "n_teff").collect()
+    assert sorted(map(tuple, got)) == sorted(con.sql(catalog.ORACLES["viewer_columns"]).fetchall()) and any("src-1000=" in r.distances for r in got)
+
+
+def test_records_of_more_than_999_sources(spark, many_customers):
+    x = shape_queries.object_rows(spark, str(many_customers)).select("sources.source", F.col("candidates.source").alias("of")).first()
+    assert len(x.source) > 999 and x.source == x.of == [f"src-{i + 1:03d}" for i in range(len(x.source))]
