@@ -24,6 +24,8 @@ from .shingles import U, mix, numbered, shingle_hashes, word_hashes
 WIDTH, BANDS, ROWS = 5, 40, 6
 #: Rank borders of the regions over weights 0 to 1; beyond 1 a region for each unit. Wider weights have lower regions.
 LOW = np.array([0, 0.125, 0.25, 0.5])
+#: Words of 64 bits in the map of the rows to drop, however many these are: a row without its bit there is kept, and its text doesn't move.
+MAP_BITS = 18
 #: Elements whose darts are thrown at once, and texts that are signed at once: about 1 800 darts each.
 BLOCK, SIGNED = 1 << 16, 16
 
@@ -317,10 +319,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     judged = counted.join(best, "label")
     gone = judged.where((F.col("row") != F.col("best")) | (F.col("n") > 1))
     gone = written(gone.select(F.col("row.id").alias("__gone_id"), F.col("row.th").alias("__gone_th"), (F.col("row") == F.col("best")).alias("__gone_one")), "gone")
-    marked = docs.withColumn("__th", digest(text))
+    spot = F.expr("cast(__spot & 63 AS int)")
+    place = F.shiftrightunsigned("__spot", 64 - MAP_BITS).alias("__place")
+    known = gone.select(F.xxhash64("__gone_id", "__gone_th").alias("__spot")).groupBy(place).agg(F.bit_or(F.expr("shiftleft(1L, cast(__spot & 63 AS int))")).alias("__bits"))
+    marked = docs.withColumn("__th", digest(text)).withColumn("__spot", F.xxhash64(id_col, "__th")).withColumn("__place", place)
+    marked = marked.join(F.broadcast(known), "__place", "left").withColumn("__maybe", F.coalesce(F.getbit("__bits", spot), F.lit(0)) == 1)
+    maybe = marked.where("__maybe")
     same = (F.col(id_col) == F.col("__gone_id")) & F.col("__th").eqNullSafe(F.col("__gone_th"))
-    single = marked.join(gone, same, "left_anti").select(*docs.columns)
+    single = marked.where("NOT __maybe").select(*docs.columns).unionByName(maybe.join(gone, same, "left_anti").select(*docs.columns))
     if not gone.where("__gone_one").head(1):  # no kept row occurs again, so texts needn't move for it
         return single
-    again = marked.join(gone.where("__gone_one"), same, "left_semi").dropDuplicates([id_col, "__th"]).select(*docs.columns)
+    again = maybe.join(gone.where("__gone_one"), same, "left_semi").dropDuplicates([id_col, "__th"]).select(*docs.columns)
     return single.unionByName(again)

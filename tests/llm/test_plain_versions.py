@@ -330,3 +330,31 @@ def test_stages_keep_columns_of_any_name(spark):
     clean = decontaminate.clean(docs, bench)
     assert clean.columns == docs.columns and sorted(str(r.doc_id) for r in clean.collect()) == ["1", "2", "None"]
     assert all(r[x] == x for r in clean.collect() for x in names)
+
+
+def moved(node):
+    """Bytes that the exchanges of a plan that has run were given."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return moved(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return moved(node.plan())
+    own = node.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(moved(node.children().apply(i)) for i in range(node.children().size()))
+
+
+@pytest.mark.parametrize("bits", [18, 1])
+def test_texts_of_kept_rows_do_not_move(spark, monkeypatch, bits):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randint(0, 99999)}" for _ in range(400)) for _ in range(200)]
+    rows = [*enumerate(texts), *((300 + k, texts[k]) for k in range(10)), (20, texts[20]), (None, texts[21]), (None, None)]
+    monkeypatch.setattr(dedup, "MAP_BITS", bits)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with more rows to drop than are broadcast
+    try:
+        kept = dedup.deduplicated(spark.createDataFrame(rows, SCHEMA))
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in kept.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted([*enumerate(texts), (-1, texts[21]), (-1, "")])
+    if bits == 18:
+        assert 0 < moved(kept._jdf.queryExecution().executedPlan()) < sum(map(len, texts)) / 4
